@@ -23,11 +23,9 @@ from ..functions import (
     typed,
 )
 from ..functions.codes import PACKAGE_TYPES, VALID_WAVES
-from .mappings import key, opened
+from .mappings import key, node, opened
 from .stamps import run_stamp
 
-_NODE = F.col("_node")
-
 # The epoch milliseconds of years 1 to 9999.
 _FIRST_MILLI, _LAST_MILLI = -62135596800000, 253402300799999
 
@@ -43,7 +41,7 @@ def document_records(
 
 def filter_kind(records: DataFrame, kind: str) -> DataFrame:
     """Records whose ``@type`` is ``kind``."""
-    return records.filter(F.try_variant_get(_NODE, "$['@type']", "string") == kind)
+    return records.filter(F.try_variant_get(node(), "$['@type']", "string") == kind)
 
 
 def derive_file_records(docs: DataFrame) -> DataFrame:
@@ -51,7 +49,7 @@ def derive_file_records(docs: DataFrame) -> DataFrame:
     records = filter_kind(document_records(docs, "records", "fileRecord"), "fileRecord")
     rows = opened(
         records.filter(
-            is_text_or_absent(member(_NODE, "id")) & is_text_or_absent(member(_NODE, "name"))
+            is_text_or_absent(member(node(), "id")) & is_text_or_absent(member(node(), "name"))
         ),
         ["id", "name", "type", "size", "attachTime"],
     )
@@ -115,7 +113,7 @@ def derive_connections(docs: DataFrame, mask_password: bool = True) -> DataFrame
     """Connections; the password is masked unless asked for."""
     records = filter_kind(document_records(docs), "connection")
     rows = opened(
-        records.filter(is_text_or_absent(member(_NODE, "id"))),
+        records.filter(is_text_or_absent(member(node(), "id"))),
         [
             "id", "name", "password", "majorUpdateTime", "connParams", "federatedId",
             "vaultEnabledParams", *_CONNECTION_TEXTS.values(), *_CONNECTION_FLAGS,
@@ -152,7 +150,7 @@ def derive_exported_objects(docs: DataFrame, project: Column, run_ts) -> DataFra
         [project.cast("string").alias("_project")],
         lambda root: member(root, "exportedObjects").try_cast("array<variant>"),
     )
-    info = items.withColumn("_info", member(_NODE, "metadata.additionalInfo"))
+    info = items.withColumn("_info", member(node(), "metadata.additionalInfo"))
     rows = opened(info, ["objectGuid", "objectName", "objectType", "path"]).withColumn(
         "object_name", typed(key("objectName"))
     )

@@ -38,18 +38,22 @@ from ..functions import (
 from ..functions.times import DEFAULT_TIMESTAMP
 from .stamps import run_stamp
 
-_NODE = F.col("_node")
 _CODES = ["CodOnda", "CodProcess"]
 
 
+def node() -> Column:
+    """The current JSON element."""
+    return F.col("_node")
+
+
 def require_id(df: DataFrame, key: str) -> DataFrame:
     """Elements whose id key is there and not empty."""
-    return df.filter(truthy(member(_NODE, key)))
+    return df.filter(truthy(member(node(), key)))
 
 
 def opened(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Adds the named keys of ``_node`` as the struct ``_o``."""
-    return df.withColumn("_o", open_keys(_NODE, names)).drop("_node")
+    return df.withColumn("_o", open_keys(node(), names)).drop("_node")
 
 
 def key(name: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -118,8 +118,10 @@ _CONTENT_JSON = f"""CASE WHEN o_orderkey % 97 = 5 THEN '{{"content": '
         ELSE concat('[', items, ']') END, '}}}}') END"""
 
 
-def mapping_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One mapping document per order: ``source_path, body``."""
+def mapping_documents(
+    spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One mapping document per order: ``source_path, body`` and the kept order columns."""
     orders = spread(table(spark, sf_dir, "orders"))
     timed = orders.withColumn(
         "iso",
@@ -136,11 +138,12 @@ def mapping_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(
         F.expr("concat('maps/', o_orderkey, '.json')").alias("source_path"),
         F.expr(_CONTENT_JSON.replace("varchar(20)", "string")).alias("body"),
+        *keep,
     )
 
 
 def task_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One task document per line item; texts come whole from ``conversations`` rows."""
+    """One task document per line item."""
     items = spread(table(spark, sf_dir, "lineitem"))
     wave = wave_sql("l_suppkey")
     flag = """CASE (l_orderkey + l_linenumber) % 7 WHEN 0 THEN 'true' WHEN 1 THEN '"Yes"'
@@ -192,3 +195,90 @@ def zipped(docs: DataFrame, member: str, suffix: str) -> DataFrame:
 
     named = docs.select(F.concat("source_path", F.lit(suffix)).alias("path"), "body")
     return named.mapInArrow(pack, "path string, content binary")
+
+
+def file_record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file-record document per event, in every root shape and with unusable records."""
+    ident = """CASE event_id % 7 WHEN 0 THEN concat('"id":"@', event_id, '",')
+        WHEN 2 THEN concat('"id":', event_id, ',') WHEN 3 THEN '"id":"@x",' WHEN 6 THEN ''
+        ELSE concat('"id":"', event_id, '",') END"""
+    attach = """CASE event_id % 11 WHEN 0 THEN '' WHEN 1 THEN '"attachTime":null,'
+        WHEN 2 THEN '"attachTime":"soon",' ELSE concat('"attachTime":', timestampdiff(
+          MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts), ',') END"""
+    record = f"""concat('{{"@type":"', IF(event_id % 13 = 0, 'folder', 'fileRecord'), '",',
+        {ident}, {attach},
+        CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('"type":"', event_type, '",') END,
+        CASE WHEN event_id % 4 = 0 THEN '' ELSE concat('"size":', user_id, ',') END,
+        '"records":null,"name":"f', user_id, '_x', event_id, '.bin"}}')"""
+    plain = f"replace({record}, '\"records\":null,', '')"
+    body = f"""CASE event_id % 5 WHEN 0 THEN concat('[', {plain}, ',{{"@type":"other"}}]')
+        WHEN 1 THEN {plain} WHEN 2 THEN concat('{{"records":[', {plain}, ']}}')
+        WHEN 3 THEN concat('[', {record}, ']') ELSE 'no json' END"""
+    return spread(table(spark, sf_dir, "events")).select(
+        F.expr("concat('records/', event_id)").alias("source_path"), F.expr(body).alias("body")
+    )
+
+
+def connection_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One connection document per customer, as an object or an array."""
+    iso = """date_format(timestampadd(HOUR, c_custkey, TIMESTAMP_NTZ'2024-01-01 00:00:00'),
+        "yyyy-MM-dd'T'HH:mm:ss'Z'")"""
+    record = f"""concat('{{"@type":"', IF(c_custkey % 10 < 8, 'connection', 'agent'), '",',
+        '"id":"', IF(c_custkey % 2 = 0, '@', ''), 'C', c_custkey, '","name":"', c_name, '",',
+        CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '"description":null,'
+          ELSE concat('"description":"', c_mktsegment, '",') END,
+        '"port":', 1000 + c_nationkey, ',"type":"', c_mktsegment, '","host":"', c_nationkey, '",',
+        '"password":"secret', c_custkey, '",',
+        CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN '"majorUpdateTime":"later",'
+          ELSE concat('"majorUpdateTime":"', {iso}, '",') END,
+        CASE c_custkey % 4 WHEN 0 THEN '"internal":true,' WHEN 1 THEN '"internal":"true",'
+          WHEN 2 THEN concat('"internal":null,"connParams":{{"a":"', c_mktsegment, '"}},')
+          ELSE '"connParams":{{}},' END,
+        CASE c_custkey % 5 WHEN 0 THEN '"federatedId":null' WHEN 1 THEN '"federatedId":""'
+          ELSE concat('"federatedId":"f', c_custkey, '"') END, '}}')"""
+    return spread(table(spark, sf_dir, "customer")).select(
+        F.expr("concat('connections/', c_custkey)").alias("source_path"),
+        F.expr(f"IF(c_custkey % 3 = 0, {record}, concat('[', {record}, ']'))").alias("body"),
+    )
+
+
+def export_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One export list per text document: an own, a foreign and a code-less object."""
+    project = wave_sql("doc_id")
+    docs = spread(table(spark, sf_dir, "documents")).withColumn("project", F.expr(project))
+    foreign = "concat('x9_', project)"
+
+    def exported(i: int, name: str, info: str) -> str:
+        return (
+            f"named_struct('objectGuid', concat('g', doc_id, '_{i}'), 'objectName', {name},"
+            f" 'objectType', source, 'metadata', {info})"
+        )
+
+    with_info = (
+        "named_struct('additionalInfo', named_struct('description', text, 'contentType', lang))"
+    )
+    none = "CAST(NULL AS struct<additionalInfo: struct<description: string, contentType: string>>)"
+    objects = ", ".join(
+        [
+            exported(0, "concat('o_', project, '_', doc_id)", with_info),
+            exported(1, "concat('plain ', lang)", none),
+            exported(2, foreign, with_info),
+        ]
+    )
+    return docs.select(
+        F.expr("concat('exports/', doc_id)").alias("source_path"),
+        "project",
+        F.to_json(F.struct(F.expr(f"array({objects})").alias("exportedObjects"))).alias("body"),
+    )
+
+
+def package_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One package-list row per part."""
+    name = f"""concat(IF(p_partkey % 4 = 1, 'tf_', 'm_a_b_'), {wave_sql("p_partkey")}, '_', p_size)"""
+    kind = "element_at(array('MTT', 'TASKFLOW', 'DTEMPLATE', 'Project'), int(p_partkey % 4) + 1)"
+    return table(spark, sf_dir, "part").select(
+        F.expr("concat('id', p_partkey)").alias("id"),
+        F.expr("concat('/Explore/', p_name)").alias("objectPath"),
+        F.expr(name).alias("objectName"),
+        F.expr(kind).alias("objectType"),
+    )
