@@ -107,27 +107,35 @@ def upsert_table(
     return upsert(target.select(*table.columns), updates, table.keys, order_cols, table.insert_only)
 
 
-def insert_ignore(
+def fresh_rows(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     order_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Target plus the updates whose key is new; the first of equal keys is taken."""
+    """The updates whose key the target does not hold, one row per key.
+
+    The first row of equal keys by ``order_cols`` is taken; without an order any of them,
+    which is enough where the key is the whole row.
+    """
     columns = target.columns
-    if order_cols is None:
-        fresh = updates.select(*columns).dropDuplicates(list(keys))
+    others = [c for c in columns if c not in keys]
+    if order_cols is None or not others:
+        batch = updates.select(*columns).dropDuplicates(list(keys)).withColumn(_KEY, _key(keys))
     else:
-        others = [c for c in columns if c not in keys]
-        fresh = (
-            updates.groupBy(*keys)
-            .agg(F.min_by(F.struct(*others), _arrival(order_cols)).alias(_FIRST))
-            .select(*keys, f"{_FIRST}.*")
-            .select(*columns)
-        )
-    known = target.select(_key(keys))
-    fresh = fresh.withColumn(_KEY, _key(keys)).join(known, _KEY, "left_anti").drop(_KEY)
-    return target.unionByName(fresh)
+        first = F.min_by(F.struct(*others), _arrival(order_cols)).alias(_FIRST)
+        batch = updates.groupBy(_key(keys)).agg(first).select(_KEY, f"{_KEY}.*", f"{_FIRST}.*")
+    return batch.join(target.select(_key(keys)), _KEY, "left_anti").select(*columns)
+
+
+def insert_ignore(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order_cols: Sequence[str] | None = None,
+) -> DataFrame:
+    """Target plus the updates whose key is new."""
+    return target.unionByName(fresh_rows(target, updates, keys, order_cols))
 
 
 def replace_slice(

@@ -1,0 +1 @@
+"""Incremental arrival of packages."""
