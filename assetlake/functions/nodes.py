@@ -28,9 +28,11 @@ def member(node: Column, name: str) -> Column:
 
 
 def open_keys(node: Column, names: Sequence[str]) -> Column:
-    """The named keys of an object in one step, as a struct of nodes; NULL for no object."""
-    fields = ", ".join(f"`{name}` variant" for name in names)
-    return node.try_cast(f"struct<{fields}>")
+    """The named keys of an object as a struct of nodes; NULL for no object.
+
+    One pass over the object: cheaper than :func:`member` where many keys are read.
+    """
+    return node.try_cast(f"struct<{', '.join(f'`{name}` variant' for name in names)}>")
 
 
 def is_object(node: Column) -> Column:

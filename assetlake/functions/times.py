@@ -18,6 +18,7 @@ _ISO = (
 )
 _COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})"
 _OFFSET = r"[T ].*([+-])(\d{2}):?(\d{2})?$"
+_OFFSET_END = r"([T ].*)[+-]\d{2}(:?\d{2})?$"
 _PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
 
 
@@ -44,7 +45,8 @@ def ts_from_iso(text: Column, default: str | None = None, offset_rule: str = "ut
     wall clock.
     """
     iso = F.when(text.rlike(_ISO), F.regexp_replace(text, r"[.,]\d+|Z$", ""))
-    value = F.regexp_replace(iso, _COMPACT_DATE, "$1-$2-$3").try_cast("timestamp_ntz")
+    clock = F.regexp_replace(iso, _OFFSET_END, "$1")
+    value = F.regexp_replace(clock, _COMPACT_DATE, "$1-$2-$3").try_cast("timestamp_ntz")
     if offset_rule == "utc":
         sign = F.when(F.regexp_extract(iso, _OFFSET, 1) == "-", 1).otherwise(-1)
         hours = F.regexp_extract(iso, _OFFSET, 2).try_cast("int")

@@ -23,7 +23,7 @@ from ..functions import (
     typed,
 )
 from ..functions.codes import PACKAGE_TYPES, VALID_WAVES
-from .mappings import key, node, opened
+from .mappings import key, node
 from .stamps import run_stamp
 
 # The epoch milliseconds of years 1 to 9999.
@@ -47,12 +47,7 @@ def filter_kind(records: DataFrame, kind: str) -> DataFrame:
 def derive_file_records(docs: DataFrame) -> DataFrame:
     """File records with a numeric id and a usable time."""
     records = filter_kind(document_records(docs, "records", "fileRecord"), "fileRecord")
-    rows = opened(
-        records.filter(
-            is_text_or_absent(member(node(), "id")) & is_text_or_absent(member(node(), "name"))
-        ),
-        ["id", "name", "type", "size", "attachTime"],
-    )
+    rows = records.filter(is_text_or_absent(key("id")) & is_text_or_absent(key("name")))
     identifier = F.btrim(strip_at(typed(key("id"), default="0")))
     attach = key("attachTime")
     good = rows.select(
@@ -112,13 +107,9 @@ _CONNECTION_FLAGS = [
 def derive_connections(docs: DataFrame, mask_password: bool = True) -> DataFrame:
     """Connections; the password is masked unless asked for."""
     records = filter_kind(document_records(docs), "connection")
-    rows = opened(
-        records.filter(is_text_or_absent(member(node(), "id"))),
-        [
-            "id", "name", "password", "majorUpdateTime", "connParams", "federatedId",
-            "vaultEnabledParams", *_CONNECTION_TEXTS.values(), *_CONNECTION_FLAGS,
-        ],
-    ).withColumn("majorUpdateTime", ts_from_iso(typed(key("majorUpdateTime"))))
+    rows = records.filter(is_text_or_absent(key("id"))).withColumn(
+        "majorUpdateTime", ts_from_iso(typed(key("majorUpdateTime")))
+    )
     password = typed(key("password"))
     if mask_password:
         password = F.when(password.isNotNull(), F.lit("***"))
@@ -150,15 +141,10 @@ def derive_exported_objects(docs: DataFrame, project: Column, run_ts) -> DataFra
         [project.cast("string").alias("_project")],
         lambda root: member(root, "exportedObjects").try_cast("array<variant>"),
     )
-    info = items.withColumn("_info", member(node(), "metadata.additionalInfo"))
-    rows = opened(info, ["objectGuid", "objectName", "objectType", "path"]).withColumn(
-        "object_name", typed(key("objectName"))
-    )
+    info = "metadata.additionalInfo"
+    rows = items.withColumn("object_name", typed(key("objectName")))
     wave, process = codes_by_digits(F.col("object_name"))
 
-    def in_info(name: str) -> Column:
-        return typed(member(F.col("_info"), name))
-
     return (
         rows.withColumn("cod_projeto", F.coalesce(wave, F.col("_project")))
         .filter(F.col("cod_projeto") == F.col("_project"))
@@ -167,10 +153,10 @@ def derive_exported_objects(docs: DataFrame, project: Column, run_ts) -> DataFra
             "object_name",
             typed(key("objectType")).alias("object_type"),
             typed(key("path")).alias("path"),
-            in_info("description").alias("description"),
-            in_info("contentType").alias("content_type"),
-            in_info("documentState").alias("document_state"),
-            json_text(F.col("_info"), "{}").alias("additional_info_json"),
+            typed(key(f"{info}.description")).alias("description"),
+            typed(key(f"{info}.contentType")).alias("content_type"),
+            typed(key(f"{info}.documentState")).alias("document_state"),
+            json_text(key(info), "{}").alias("additional_info_json"),
             "cod_projeto",
             process.alias("cod_processo"),
             run_stamp(run_ts).alias("created_at"),

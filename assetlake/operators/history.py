@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_of
+from .merge import distinct_keys
 from .stamps import run_day
 
 # Fixed value: file record types left out of every history.
@@ -53,7 +54,7 @@ def history_window(
 def latest_batch(tasks: DataFrame, key: str = "name", column: str = "Dt_Updated") -> DataFrame:
     """Every row of any key that was updated on the newest day of the table."""
     newest = tasks.agg(F.max(day_of(F.col(column)))).scalar()
-    fresh = tasks.filter(day_of(F.col(column)) == newest).select(key).distinct()
+    fresh = distinct_keys(tasks.filter(day_of(F.col(column)) == newest), [key])
     return tasks.join(fresh, key, "left_semi").select(*tasks.columns)
 
 
@@ -72,12 +73,9 @@ def snapshot_history(
     of whole rows for DISTINCT.
     """
     newest = records.agg(F.max(day_of(F.col(column)))).scalar()
-    fresh = (
-        records.filter(
-            (day_of(F.col(column)) == newest) & ~F.col(type_column).isin(list(ignored))
-        )
-        .select(*keys)
-        .distinct()
+    current = records.filter(
+        (day_of(F.col(column)) == newest) & ~F.col(type_column).isin(list(ignored))
     )
+    fresh = distinct_keys(current, keys)
     kept = rows.join(fresh, list(keys), "left_semi").select(*rows.columns)
     return kept if rows_unique else kept.distinct()

@@ -10,13 +10,10 @@ there the filter cannot be pushed below the parse and make it run twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    as_node,
     brazil_time,
     class_int,
     codes_by_position,
@@ -29,7 +26,6 @@ from ..functions import (
     json_or_default,
     json_text,
     member,
-    open_keys,
     truthy,
     ts_from_iso,
     typed,
@@ -51,55 +47,40 @@ def require_id(df: DataFrame, key: str) -> DataFrame:
     return df.filter(truthy(member(node(), key)))
 
 
-def opened(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Adds the named keys of ``_node`` as the struct ``_o``."""
-    return df.withColumn("_o", open_keys(node(), names)).drop("_node")
-
-
 def key(name: str) -> Column:
-    """Node of an opened key."""
-    return F.col("_o").getField(name)
+    """Node of a key of the current element; keys nobody selects are never read."""
+    return member(node(), name)
 
 
-def _nested(name: str, default: str, nested: str) -> Column:
+def text_or_node(name: str, default: str, nested: str) -> Column:
+    """A nested key as JSON text for storing, or as it is (``nested="node"``)."""
     return key(name) if nested == "node" else json_text(key(name), default)
 
 
-def parse_documents(docs: DataFrame, body: str = "body") -> DataFrame:
-    """Documents with their parsed root in ``_node``; unparsable text gives NULL."""
-    return docs.withColumn("_node", as_node(docs, body))
-
-
 def derive_content(docs: DataFrame, run_ts, nested: str = "text") -> DataFrame:
     """One row per document with a ``content`` object that has an id."""
     now = run_stamp(run_ts)
-    # A document has one content object; exploding it keeps parse and filter apart.
-    content = explode_elements(
-        docs, "body", ["source_path"], lambda root: F.array(member(root, "content"))
+    # Exploding the single root keeps the id filter from being pushed below the parse.
+    content = explode_elements(docs, "body", ["source_path"], F.array)
+    rows = require_id(content, "content.$$IID").withColumn(
+        "name", typed(key("content.name"), default="")
     )
-    rows = opened(
-        require_id(content, "$$IID"),
-        [
-            "$$IID", "$$class", "name", "annotations", "bigIntConvertType", "documentType",
-            "ecoSystem", "templateOrigin", "links", "transformations", "variables",
-        ],
-    ).withColumn("name", typed(key("name"), default=""))
     wave, process = codes_by_position(F.when(F.col("name") != "", F.col("name")))
     return rows.select(
         "source_path",
-        typed(key("$$IID")).alias("id"),
-        typed(key("$$class"), default="").alias("class"),
+        typed(key("content.$$IID")).alias("id"),
+        typed(key("content.$$class"), default="").alias("class"),
         wave.alias("CodOnda"),
         process.alias("CodProcess"),
-        _nested("annotations", "{}", nested).alias("annotations"),
-        typed(key("bigIntConvertType")).alias("big_int_convert_type"),
-        typed(key("documentType")).alias("document_type"),
-        typed(key("ecoSystem")).alias("eco_system"),
+        text_or_node("content.annotations", "{}", nested).alias("annotations"),
+        typed(key("content.bigIntConvertType")).alias("big_int_convert_type"),
+        typed(key("content.documentType")).alias("document_type"),
+        typed(key("content.ecoSystem")).alias("eco_system"),
         "name",
-        typed(key("templateOrigin")).alias("template_origin"),
-        _nested("links", "[]", nested).alias("links"),
-        _nested("transformations", "[]", nested).alias("transformations"),
-        _nested("variables", "{}", nested).alias("variables"),
+        typed(key("content.templateOrigin")).alias("template_origin"),
+        text_or_node("content.links", "[]", nested).alias("links"),
+        text_or_node("content.transformations", "[]", nested).alias("transformations"),
+        text_or_node("content.variables", "{}", nested).alias("variables"),
         now.alias("Dt_Inserted"),
         now.alias("Dt_updated"),
     )
@@ -111,30 +92,23 @@ def derive_transformations(content: DataFrame, run_ts, nested: str = "text") ->
     items = explode_elements(
         content, "transformations", [F.col("name").alias("content_name"), *_CODES]
     )
-    rows = opened(
-        require_id(items, "$$ID"),
-        [
-            "$$ID", "$$class", "annotations", "createTime", "name", "inputSorted",
-            "advancedProperties", "groups", "sessionProperties", "generateFilenamePort",
-            "useLabels", "useSequenceFields", "fields", "dataAdapter",
-        ],
-    ).withColumn("create_time", ts_from_iso(typed(key("createTime")), DEFAULT_TIMESTAMP))
+    rows = require_id(items, "$$ID").withColumn("create_time", ts_from_iso(typed(key("createTime")), DEFAULT_TIMESTAMP))
     return rows.select(
         typed(key("$$ID")).alias("id"),
         typed(key("$$class"), default="").alias("class"),
-        _nested("annotations", "{}", nested).alias("annotations"),
+        text_or_node("annotations", "{}", nested).alias("annotations"),
         "create_time",
         brazil_time(F.col("create_time")).alias("create_time_brazil"),
         typed(key("name"), default="").alias("name"),
         input_sorted_text(key("inputSorted")).alias("inputSorted"),
-        _nested("advancedProperties", "{}", nested).alias("advanced_properties"),
-        _nested("groups", "[]", nested).alias("_groups"),
-        _nested("sessionProperties", "{}", nested).alias("session_properties"),
+        text_or_node("advancedProperties", "{}", nested).alias("advanced_properties"),
+        text_or_node("groups", "[]", nested).alias("_groups"),
+        text_or_node("sessionProperties", "{}", nested).alias("session_properties"),
         is_true_literal(key("generateFilenamePort")).alias("generate_filename_port"),
         is_true_literal(key("useLabels")).alias("use_labels"),
         is_true_literal(key("useSequenceFields")).alias("use_sequence_fields"),
-        _nested("fields", "[]", nested).alias("fields"),
-        _nested("dataAdapter", "{}", nested).alias("data_adapter"),
+        text_or_node("fields", "[]", nested).alias("fields"),
+        text_or_node("dataAdapter", "{}", nested).alias("data_adapter"),
         "content_name",
         *_CODES,
         now.alias("Dt_Inserted"),
@@ -160,7 +134,7 @@ def derive_properties(transformations: DataFrame, kind: str, run_ts) -> DataFram
         [F.col("id").alias("id_transf"), *_CODES, "content_name", "create_time_brazil"],
         lambda root: elements_of(root, inner_key=wrapper),
     )
-    rows = opened(require_id(items, "$$ID"), ["$$ID", "$$class", "name", "value"])
+    rows = require_id(items, "$$ID")
     identifier = typed(key("$$ID"))
     name = typed(key("name"), default="")
     if kind == "advanced":
@@ -189,15 +163,7 @@ def derive_data_adapters(transformations: DataFrame, run_ts, nested: str = "text
         "data_adapter",
         [F.col("id").alias("id_transf"), *_CODES, "content_name", "create_time_brazil"],
     )
-    rows = opened(
-        adapters,
-        [
-            "$$ID", "$$class", "compatibleEngine", "connectionId",
-            "excludeDynamicFileNameField", "fwConfigId", "multipleObject", "objectType",
-            "typeSystem", "useDynamicFileName", "object", "oprRuntimeAttributes",
-            "readOptions", "runtimeAttributes",
-        ],
-    )
+    rows = adapters
     return rows.select(
         typed(key("$$ID")).alias("id"),
         "id_transf",
@@ -210,10 +176,10 @@ def derive_data_adapters(transformations: DataFrame, run_ts, nested: str = "text
         typed(key("objectType")).alias("object_type"),
         typed(key("typeSystem")).alias("type_system"),
         typed(key("useDynamicFileName")).alias("use_dynamic_file_name"),
-        _nested("object", "{}", nested).alias("object"),
-        _nested("oprRuntimeAttributes", "{}", nested).alias("opr_runtime_attributes"),
-        _nested("readOptions", "{}", nested).alias("read_options"),
-        _nested("runtimeAttributes", "{}", nested).alias("runtime_attributes"),
+        text_or_node("object", "{}", nested).alias("object"),
+        text_or_node("oprRuntimeAttributes", "{}", nested).alias("opr_runtime_attributes"),
+        text_or_node("readOptions", "{}", nested).alias("read_options"),
+        text_or_node("runtimeAttributes", "{}", nested).alias("runtime_attributes"),
         "content_name",
         *_CODES,
         F.coalesce("create_time_brazil", now).alias("Dt_Inserted"),
@@ -229,13 +195,7 @@ def derive_adapter_objects(adapters: DataFrame, run_ts) -> DataFrame:
         "object",
         [F.col("id").alias("id_data_adapter"), "id_transf", *_CODES, "content_name", "Dt_Inserted"],
     )
-    rows = opened(
-        require_id(objects, "$$ID"),
-        [
-            "$$ID", "$$class", "name", "customQuery", "label", "objectName", "objectType",
-            "parentPath", "path", "retainMetadata", "fields", "fileAttrs",
-        ],
-    )
+    rows = require_id(objects, "$$ID")
     return rows.select(
         typed(key("$$ID")).alias("id"),
         "id_transf",

@@ -146,9 +146,19 @@ def replace_slice(
     return kept.unionByName(rows.select(*target.columns))
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key of a frame once, for the small side of a semi or anti join.
+
+    Grouping by a struct leaves the keys in a partitioning of their own, so the join
+    shuffles them again by the plain keys.  Adaptive execution splits a hot key of the
+    big side only when both sides of the join come straight from a shuffle.
+    """
+    return df.select(_key(keys)).distinct().select(f"{_KEY}.*")
+
+
 def doomed_keys(parent: DataFrame, predicate: Column, key: str) -> DataFrame:
     """Keys of the parent rows that match, each once."""
-    return parent.filter(predicate).select(key).distinct()
+    return distinct_keys(parent.filter(predicate), [key])
 
 
 def without_keys(df: DataFrame, doomed: DataFrame, key: str) -> DataFrame:

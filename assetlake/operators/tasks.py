@@ -10,6 +10,7 @@ from ..functions import (
     explode_elements,
     flag01,
     is_object,
+    open_keys,
     json_text,
     typed,
 )
@@ -20,47 +21,50 @@ from ..schemas import (
     PARAMETER_TEXTS,
     TABLES,
 )
-from .mappings import key, opened, require_id
+from .mappings import key, node, require_id, text_or_node
 from .stamps import run_stamp
 
 
-def derive_tasks(docs: DataFrame, run_ts) -> DataFrame:
-    """One row per task document with a name; codes by position in the name."""
+def derive_tasks(docs: DataFrame, run_ts, nested: str = "text") -> DataFrame:
+    """One row per task document with a name; codes by position in the name.
+
+    ``nested="node"`` leaves the nested lists parsed, for children derived in flight.
+    """
     now = run_stamp(run_ts)
     documents = explode_elements(docs, "body", ["source_path"], F.array)
-    tasks = opened(
-        require_id(documents, "name"), ["name", "parameters", "sessionPropertiesList"]
-    ).withColumn("name", typed(key("name")))
+    tasks = require_id(documents, "name").withColumn("name", typed(key("name")))
     wave, process = codes_by_position(F.col("name"))
     return tasks.select(
         "source_path",
         wave.alias("CodOnda"),
         process.alias("CodProcess"),
         "name",
-        json_text(key("parameters"), "[]").alias("parameters"),
-        json_text(key("sessionPropertiesList"), "[]").alias("sessionPropertiesList"),
+        text_or_node("parameters", "[]", nested).alias("parameters"),
+        text_or_node("sessionPropertiesList", "[]", nested).alias("sessionPropertiesList"),
         now.alias("Dt_Inserted"),
         now.alias("Dt_Updated"),
     )
 
 
-def _elements(tasks: DataFrame, column: str, names: list[str]) -> DataFrame:
+def _elements(tasks: DataFrame, column: str) -> DataFrame:
     # Elements that are no objects carry nothing to read and are left out.
     items = explode_elements(
         tasks, column, ["CodOnda", "CodProcess", F.col("name").alias("task_name"), "Dt_Inserted"]
     )
-    return opened(items.filter(is_object(F.col("_node"))), names)
+    return items.filter(is_object(node()))
 
 
 def derive_task_parameters(tasks: DataFrame, run_ts) -> DataFrame:
     """One row per task parameter, in the column order of ``s_task_parameters``."""
-    made = {"Dt_updated": run_stamp(run_ts)}
-    made |= {k: typed(key(k), default="") for k in PARAMETER_TEXTS}
-    made |= {k: json_text(key(k), "{}") for k in PARAMETER_OBJECTS}
-    made |= {k: json_text(key(k), "[]") for k in PARAMETER_LISTS}
-    made |= {k: flag01(key(k)) for k in PARAMETER_FLAGS}
     names = [*PARAMETER_TEXTS, *PARAMETER_OBJECTS, *PARAMETER_LISTS, *PARAMETER_FLAGS]
-    return _elements(tasks, "parameters", names).select(
+    items = _elements(tasks, "parameters").withColumn("_keys", open_keys(node(), names))
+    keys = {name: F.col("_keys").getField(name) for name in names}
+    made = {"Dt_updated": run_stamp(run_ts)}
+    made |= {k: typed(keys[k], default="") for k in PARAMETER_TEXTS}
+    made |= {k: json_text(keys[k], "{}") for k in PARAMETER_OBJECTS}
+    made |= {k: json_text(keys[k], "[]") for k in PARAMETER_LISTS}
+    made |= {k: flag01(keys[k]) for k in PARAMETER_FLAGS}
+    return items.select(
         *[made.get(c, F.col(c)).alias(c) for c in TABLES["s_task_parameters"].columns]
     )
 
@@ -71,9 +75,7 @@ def derive_task_properties(tasks: DataFrame, run_ts, inserted_from: str = "task"
     ``inserted_from`` takes the insert time from the ``task`` row or from the ``run``.
     """
     now = run_stamp(run_ts)
-    return _elements(
-        tasks, "sessionPropertiesList", ["name", "value", "recommended"]
-    ).select(
+    return _elements(tasks, "sessionPropertiesList").select(
         "CodOnda",
         "CodProcess",
         "task_name",

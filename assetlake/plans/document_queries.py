@@ -24,6 +24,7 @@ from ..operators.quality import load_audit, naming_anomalies, naming_summary, sp
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
 from ..schemas import PARAMETER_FLAGS, PARAMETER_LISTS, PARAMETER_OBJECTS
 from ..sources.documents import flag_bad_json
+from ..sources.scratch import stored
 from .derived import (
     CONTENT_NAME,
     ORDER_WAVE,
@@ -260,7 +261,10 @@ def _(spark, sf):
       FROM good LEFT JOIN customer ON c_custkey = o_custkey % 50 AND c_custkey % 10 < 8""",
 )
 def _(spark, sf):
-    content = _content(spark, sf)
+    content = stored(
+        _content(spark, sf).select("id", "name", "CodOnda", "CodProcess", "transformations"),
+        "content",
+    )
     transformations = derive_transformations(content, RUN_TS, "node")
     adapters = derive_data_adapters(transformations, RUN_TS, "node")
     return lineage(
@@ -309,7 +313,7 @@ def _parameter_sql() -> str:
 
 @query("task_parameters", _parameter_sql())
 def _(spark, sf):
-    return derive_task_parameters(derive_tasks(task_documents(spark, sf), RUN_TS), RUN_TS)
+    return derive_task_parameters(derive_tasks(task_documents(spark, sf), RUN_TS, "node"), RUN_TS)
 
 
 def _task_property_sql(inserted: str) -> str:
@@ -320,7 +324,7 @@ def _task_property_sql(inserted: str) -> str:
 
 @query("task_properties", _task_property_sql("TIMESTAMP '2024-05-01 00:00:00'"))
 def _(spark, sf):
-    tasks = derive_tasks(task_documents(spark, sf), "2024-05-01 00:00:00")
+    tasks = derive_tasks(task_documents(spark, sf), "2024-05-01 00:00:00", "node")
     return derive_task_properties(tasks, RUN_TS)
 
 

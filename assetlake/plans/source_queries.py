@@ -15,7 +15,7 @@ from ..operators.taskflows import shred_taskflows
 from ..schemas import TABLES, TASKFLOW_TABLES
 from ..sources import archives, sheets
 from ..sources.documents import scan_package_csv
-from ..sources.scratch import scratch_path
+from ..sources.scratch import scratch_path, stored
 from ..sources.taskflow_xml import NAMESPACES, parse_taskflows
 from .derived import package_rows, wave_sql, zipped
 from .registry import query
@@ -239,7 +239,7 @@ def _(spark, sf):
         "p_partkey", "p_name", F.expr("CASE WHEN p_size % 2 = 0 THEN p_type END").alias("kind")
     )
     books = spread(parts).mapInArrow(pack, "path string, content binary")
-    return sheets.sheet_frame(sheets.read_cells(books)).drop("source_path", "row")
+    return sheets.sheet_frame(stored(sheets.read_cells(books), "sheets")).drop("source_path", "row")
 
 
 @query(
