@@ -148,7 +148,8 @@ def load_task_children(store: TableStore, run_ts) -> Written:
 
 
 def load_package_contents(store: TableStore, rows: DataFrame, run_ts) -> Written:
-    good, _ = split_rejects(rows)
+    store.overwrite("stage_packages", rows)
+    good, _ = split_rejects(store.read("stage_packages"))
     name = "ContentsofExportPackage"
     contents = derive_package_contents(good, run_ts)
     return {name: store.upsert(name, contents, ["source_path"])}

@@ -7,10 +7,11 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import asset_name
+from .files import binary_files
 
 # Package kinds as (file suffix, ending of the wanted member).
 MAPPINGS = (".DTEMPLATE.zip", "@3.bin")
@@ -36,6 +37,10 @@ def _read_member(content: bytes, ending: str) -> tuple[str | None, str | None]:
         return None, f"{type(error).__name__}: {error}"
 
 
+# Documents handed on in one batch at most; a batch ends earlier at this many characters.
+_BATCH_ROWS, _BATCH_CHARS = 1000, 8_000_000
+
+
 def unzip_members(files: DataFrame, suffix: str, ending: str) -> DataFrame:
     """Member text of every package: ``source_path, asset_name, body, error``.
 
@@ -45,29 +50,38 @@ def unzip_members(files: DataFrame, suffix: str, ending: str) -> DataFrame:
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # One package per output batch keeps a worker's memory at one package.
+            rows, size = [], 0
             for path, content in zip(batch.column("path"), batch.column("content")):
                 body, error = _read_member(content.as_py(), ending)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], pa.string()) for v in (path.as_py(), body, error)],
-                    names=["source_path", "body", "error"],
-                )
+                rows.append((path.as_py(), body, error))
+                size += len(body or "")
+                if len(rows) == _BATCH_ROWS or size > _BATCH_CHARS:
+                    yield _documents(rows)
+                    rows, size = [], 0
+            yield _documents(rows)
 
     return (
         files.select("path", "content")
         .mapInArrow(unzip, _UNZIPPED)
-        .select("source_path", asset_name(F.col("source_path"), suffix).alias("asset_name"),
-                "body", "error")
+        .select("source_path", _asset(suffix), "body", "error")
     )
 
 
+def _documents(rows: list[tuple[str, str | None, str | None]]) -> pa.RecordBatch:
+    columns = [pa.array([row[i] for row in rows], pa.string()) for i in range(3)]
+    return pa.RecordBatch.from_arrays(columns, names=["source_path", "body", "error"])
+
+
+def _asset(suffix: str) -> Column:
+    return asset_name(F.col("source_path"), suffix).alias("asset_name")
+
+
 def scan_archives(
     spark: SparkSession, paths: str | Sequence[str], suffix: str, ending: str
 ) -> DataFrame:
     """Packages under ``paths`` with the given file suffix, unzipped."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(paths if isinstance(paths, str) else list(paths))
-    )
-    return unzip_members(files, suffix, ending)
+    files, too_large = binary_files(spark, paths, f"*{suffix}")
+    rejected = too_large.select(
+        F.col("path").alias("source_path"), F.lit(None).cast("string").alias("body"), "error"
+    ).select("source_path", _asset(suffix), "body", "error")
+    return unzip_members(files, suffix, ending).unionByName(rejected)

@@ -8,9 +8,12 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .files import binary_files
+
 # The name spaces of the export format.
 _BASE = "http://schemas.active-endpoints.com/appmodules/"
 NAMESPACES = {
@@ -177,9 +180,6 @@ def parse_taskflows(files: DataFrame) -> DataFrame:
 
 def scan_taskflow_xml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Items of every ``*.xml`` file under ``paths``."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.xml")
-        .load(paths if isinstance(paths, str) else list(paths))
-    )
-    return parse_taskflows(files)
+    files, too_large = binary_files(spark, paths, "*.xml")
+    rejected = too_large.select(F.col("path").alias("source_path"), "error")
+    return parse_taskflows(files).unionByName(rejected, allowMissingColumns=True)
