@@ -51,10 +51,15 @@ def history_window(
     )
 
 
+def _on_newest_day(df: DataFrame, column: str) -> Column:
+    """Rows of the newest day, as a lower bound on the bare column."""
+    newest = df.agg(F.max(day_of(F.col(column))).cast("timestamp_ntz")).scalar()
+    return F.col(column) >= newest
+
+
 def latest_batch(tasks: DataFrame, key: str = "name", column: str = "Dt_Updated") -> DataFrame:
     """Every row of any key that was updated on the newest day of the table."""
-    newest = tasks.agg(F.max(day_of(F.col(column)))).scalar()
-    fresh = distinct_keys(tasks.filter(day_of(F.col(column)) == newest), [key])
+    fresh = distinct_keys(tasks.filter(_on_newest_day(tasks, column)), [key])
     return tasks.join(fresh, key, "left_semi").select(*tasks.columns)
 
 
@@ -72,9 +77,8 @@ def snapshot_history(
     ``rows_unique`` says that the rows hold a key of their own, which saves the shuffle
     of whole rows for DISTINCT.
     """
-    newest = records.agg(F.max(day_of(F.col(column)))).scalar()
     current = records.filter(
-        (day_of(F.col(column)) == newest) & ~F.col(type_column).isin(list(ignored))
+        _on_newest_day(records, column) & ~F.col(type_column).isin(list(ignored))
     )
     fresh = distinct_keys(current, keys)
     kept = rows.join(fresh, list(keys), "left_semi").select(*rows.columns)

@@ -16,7 +16,9 @@ def lineage(
     """One row per adapter object with its parents; the connection may be unknown.
 
     All joins are plain equi-joins on the carried ids, so the optimizer is free to
-    broadcast by measured size and to split hot keys at run time.
+    broadcast by measured size and to split hot keys at run time.  Content is found by
+    name; of several documents with one name and the same codes the last id is taken, so
+    that copies do not multiply the rows.
     """
     codes = ["CodOnda", "CodProcess"]
     object_rows = objects.select(
@@ -31,8 +33,10 @@ def lineage(
         F.col("id").alias("id_transf"), F.col("name").alias("transformation_name"),
         "content_name", *codes,
     )
-    content_rows = content.select(
-        F.col("id").alias("content_id"), F.col("name").alias("content_name"), *codes
+    content_rows = (
+        content.groupBy(F.struct(F.col("name").alias("content_name"), *codes).alias("_key"))
+        .agg(F.max("id").alias("content_id"))
+        .select("content_id", "_key.*")
     )
     connection_rows = connections.select(
         F.col("id").alias("connection_id"), F.col("name").alias("connection_name"),

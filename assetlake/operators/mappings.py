@@ -2,7 +2,8 @@
 
 Each step takes the frame of its parent.  Nested JSON columns may be text (as stored) or
 VARIANT (in flight): with ``nested="node"`` a whole chain parses every document once.
-``_pos`` is the place in the parent's array, for last-writer-wins.
+``_pos`` is the place in the parent's array and ``_content`` the id of the parent document, for
+last-writer-wins.
 
 Rows without an id are filtered directly on the exploded element, above the generator:
 there the filter cannot be pushed below the parse and make it run twice.
@@ -90,7 +91,9 @@ def derive_transformations(content: DataFrame, run_ts, nested: str = "text") ->
     """One row per element of ``content.transformations`` that has an id."""
     now = run_stamp(run_ts)
     items = explode_elements(
-        content, "transformations", [F.col("name").alias("content_name"), *_CODES]
+        content,
+        "transformations",
+        [F.col("id").alias("_content"), F.col("name").alias("content_name"), *_CODES],
     )
     rows = require_id(items, "$$ID").withColumn("create_time", ts_from_iso(typed(key("createTime")), DEFAULT_TIMESTAMP))
     return rows.select(
@@ -113,6 +116,7 @@ def derive_transformations(content: DataFrame, run_ts, nested: str = "text") ->
         *_CODES,
         now.alias("Dt_Inserted"),
         now.alias("Dt_updated"),
+        "_content",
         "_pos",
     )
 

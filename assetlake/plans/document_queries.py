@@ -105,7 +105,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return _transformations(spark, sf, "text").drop(
-        "advanced_properties", "session_properties", "data_adapter", "_pos"
+        "advanced_properties", "session_properties", "data_adapter", "_content", "_pos"
     )
 
 
@@ -261,11 +261,14 @@ def _(spark, sf):
       FROM good LEFT JOIN customer ON c_custkey = o_custkey % 50 AND c_custkey % 10 < 8""",
 )
 def _(spark, sf):
-    content = stored(
-        _content(spark, sf).select("id", "name", "CodOnda", "CodProcess", "transformations"),
-        "content",
+    content = _content(spark, sf)
+    transformations = stored(
+        derive_transformations(content, RUN_TS, "node").select(
+            "id", "name", "content_name", "CodOnda", "CodProcess", "create_time_brazil",
+            "data_adapter",
+        ),
+        "transformation",
     )
-    transformations = derive_transformations(content, RUN_TS, "node")
     adapters = derive_data_adapters(transformations, RUN_TS, "node")
     return lineage(
         derive_adapter_objects(adapters, RUN_TS),

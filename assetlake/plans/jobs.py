@@ -34,7 +34,7 @@ from ..operators.mappings import (
     derive_transformations,
 )
 from ..operators.merge import collapse_batch, doomed_keys, fresh_rows, upsert_table, without_keys
-from ..operators.quality import naming_anomalies, split_rejects
+from ..operators.quality import load_audit, naming_anomalies, split_rejects
 from ..operators.standardize import apply_rename_rules, clean_columns, nan_to_null
 from ..operators.taskflows import TASKFLOW_ORDER, shred_taskflows
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
@@ -63,6 +63,19 @@ def staged(store: TableStore, kind: str) -> tuple[DataFrame, DataFrame]:
     return split_rejects(store.read(STAGED[kind]))
 
 
+def staging_audit(store: TableStore) -> DataFrame:
+    """Documents read, usable and failed per staging table and in total."""
+    outcomes = [
+        store.read(name).select(
+            F.lit(name).alias("table_name"),
+            "source_path",
+            F.when(F.col("error").isNull(), "written").otherwise("failed").alias("outcome"),
+        )
+        for name in STAGED.values()
+    ]
+    return load_audit(reduce(DataFrame.unionByName, outcomes))
+
+
 def _collapsed(name: str, rows: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     table = TABLES[name]
     return collapse_batch(rows, table.keys, table.insert_only, order_cols, table.columns)
@@ -96,7 +109,7 @@ def load_transformations(store: TableStore, waves: Sequence[str], run_ts) -> Wri
     records = store.read("transformation_file_records")
     kept = store.append("transformation_hist", snapshot_history(old, records, rows_unique=True))
     rows = derive_transformations(_batch(store, "content", waves, run_ts), run_ts)
-    new = _collapsed("transformation", rows, ["content_name", "_pos"])
+    new = _collapsed("transformation", rows, ["content_name", "_content", "_pos"])
     return {
         "transformation_hist": kept,
         "transformation": store.replace_slices("transformation", new, waves),

@@ -5,6 +5,7 @@ import json
 import pytest
 from conftest import mapping, rows_of, write_zip
 
+from assetlake.plans import jobs
 from assetlake.plans.daily import run_daily
 from assetlake.schemas import TABLES
 from assetlake.sources.store import TableStore
@@ -141,6 +142,13 @@ def test_rejects_are_kept(world):
     assert errors == {"corrupt archive"}
 
 
+def test_audit_counts_sources(world):
+    got = {r["table_name"]: r for r in jobs.staging_audit(world["store"]).collect()}
+    assert (got["stage_maps"]["sources"], got["stage_maps"]["failed"]) == (2, 1)
+    assert not got["stage_maps"]["success"] and got["stage_tasks"]["success"]
+    assert (got[None]["records_read"], got[None]["failed"]) == (6, 2)
+
+
 def test_second_run_is_idempotent_and_keeps_history(world):
     store, before = world["store"], world["tables"]
     written = world["run"](DAY_2)
