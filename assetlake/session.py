@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Run-time settings that suit large inputs.  Hot join keys are split by adaptive execution;
-# a JSON object with a repeated key keeps the last value, as usual JSON readers do.
+# a JSON object with a repeated key keeps the last value, as usual JSON readers do; packages
+# are small files, and a lower opening cost puts about a hundred into one task.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.openCostInBytes": "1MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
