@@ -7,6 +7,7 @@ of a run in one pass and returns the number of rows written per table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
@@ -189,7 +190,10 @@ def load_taskflows(store: TableStore, items: DataFrame, waves: Sequence[str]) ->
             results[name] = kept.unionByName(fresh_rows(kept, shredded[name], table.keys))
         else:
             results[name] = upsert_table(kept, shredded[name], table, TASKFLOW_ORDER)
-    return {name: store.overwrite(name, rows) for name, rows in results.items()}
+    # The tables do not depend on each other; writing some at a time keeps the cluster busy.
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        counts = pool.map(store.overwrite, results.keys(), results.values())
+        return dict(zip(results, counts))
 
 
 def load_standardization(store: TableStore, sheet: DataFrame, wave: str) -> Written:

@@ -14,7 +14,9 @@ from assetlake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session()
+    session = local_session()
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    return session
 
 
 def write_zip(path: Path, members: dict[str, str]) -> None:

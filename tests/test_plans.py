@@ -47,6 +47,7 @@ def test_upsert_reduces_before_its_only_shuffle_of_updates(spark):
 def test_hot_join_key_is_split(spark):
     """A third of all rows on one key: adaptive execution splits that partition."""
     small = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -70,6 +71,7 @@ def test_hot_join_key_is_split(spark):
     finally:
         for name in small:
             spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
 
 
 @pytest.mark.parametrize("name", ["transformations", "session_properties", "adapter_objects",
