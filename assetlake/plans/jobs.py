@@ -40,39 +40,55 @@ from ..operators.standardize import apply_rename_rules, clean_columns, nan_to_nu
 from ..operators.taskflows import TASKFLOW_ORDER, shred_taskflows
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
 from ..schemas import TABLES, TASKFLOW_TABLES
-from ..sources.documents import flag_bad_json
+from ..sources.documents import json_error
 from ..sources.store import TableStore
 
 Written = dict[str, int]
 
+# Staging table of every kind of document; each kind is a struct column in its table.
 STAGED = {
-    "maps": "stage_maps",
-    "file_records": "stage_file_records",
+    "maps": "stage_mappings",
+    "file_records": "stage_mappings",
     "tasks": "stage_tasks",
     "connections": "stage_connections",
 }
 
 
-def stage_documents(store: TableStore, kind: str, docs: DataFrame) -> Written:
-    """Keeps unzipped documents with their error, if any; one pass over the packages."""
-    name = STAGED[kind]
-    return {name: store.overwrite(name, flag_bad_json(docs))}
+def stage_packages(store: TableStore, name: str, packages: DataFrame) -> Written:
+    """Keeps the members of unzipped packages with their error, if any.
+
+    One pass over the packages; loaders then read the column of their kind only.
+    """
+    checked = {
+        kind: F.struct(
+            F.col(kind).body.alias("body"),
+            json_error(F.col(kind).body, F.col(kind).error).alias("error"),
+        )
+        for kind in STAGED
+        if kind in packages.columns
+    }
+    return {name: store.overwrite(name, packages.withColumns(checked))}
+
+
+def _staged(store: TableStore, kind: str) -> DataFrame:
+    packages = store.read(STAGED[kind])
+    return packages.select("source_path", "asset_name", f"{kind}.body", f"{kind}.error")
 
 
 def staged(store: TableStore, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Usable and rejected documents of a staging table."""
-    return split_rejects(store.read(STAGED[kind]))
+    """Usable and rejected documents of one kind."""
+    return split_rejects(_staged(store, kind))
 
 
 def staging_audit(store: TableStore) -> DataFrame:
-    """Documents read, usable and failed per staging table and in total."""
+    """Documents read, usable and failed per kind and in total."""
     outcomes = [
-        store.read(name).select(
-            F.lit(name).alias("table_name"),
+        _staged(store, kind).select(
+            F.lit(kind).alias("table_name"),
             "source_path",
             F.when(F.col("error").isNull(), "written").otherwise("failed").alias("outcome"),
         )
-        for name in STAGED.values()
+        for kind in STAGED
     ]
     return load_audit(reduce(DataFrame.unionByName, outcomes))
 

@@ -1,4 +1,4 @@
-"""Archive packages: one member of interest per zip file."""
+"""Archive packages: the members of interest of every zip file."""
 
 from __future__ import annotations
 
@@ -19,69 +19,95 @@ FILE_RECORDS = (".DTEMPLATE.zip", "fileRecord.json")
 TASKS = (".MTT.zip", "mtTask.json")
 CONNECTIONS = (".Connection.zip", "connection.json")
 
-_UNZIPPED = "source_path string, body string, error string"
+Member = tuple[str | None, str | None]  # body, error
 
 
-def _read_member(content: bytes, ending: str) -> tuple[str | None, str | None]:
+def _open_member(archive: zipfile.ZipFile, ending: str) -> Member:
+    member = next((n for n in archive.namelist() if n.endswith(ending)), None)
+    if member is None:
+        return None, "member not found"
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            member = next((n for n in archive.namelist() if n.endswith(ending)), None)
-            if member is None:
-                return None, "member not found"
-            return archive.read(member).decode("utf-8"), None
-    except zipfile.BadZipFile:
-        return None, "corrupt archive"
+        return archive.read(member).decode("utf-8"), None
     except UnicodeDecodeError:
         return None, "member is not UTF-8 text"
+
+
+def _read_members(content: bytes, endings: Sequence[str]) -> list[Member]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            return [_open_member(archive, ending) for ending in endings]
+    except zipfile.BadZipFile:
+        reason = "corrupt archive"
     except Exception as error:  # one bad package must not stop the load
-        return None, f"{type(error).__name__}: {error}"
+        reason = f"{type(error).__name__}: {error}"
+    return [(None, reason)] * len(endings)
 
 
-# Documents handed on in one batch at most; a batch ends earlier at this many characters.
+# Packages handed on in one batch at most; a batch ends earlier at this many characters.
 _BATCH_ROWS, _BATCH_CHARS = 1000, 8_000_000
+_MEMBER = pa.struct([("body", pa.string()), ("error", pa.string())])
 
 
-def unzip_members(files: DataFrame, suffix: str, ending: str) -> DataFrame:
-    """Member text of every package: ``source_path, asset_name, body, error``.
+def unzip_packages(files: DataFrame, suffix: str, members: dict[str, str]) -> DataFrame:
+    """One row per package: ``source_path, asset_name`` and a struct per wanted member.
 
-    ``files`` has ``path`` and ``content``.  The first member whose name has the wanted
-    ending is taken; a package without one, or a broken one, gives a row with ``error``.
+    ``files`` has ``path`` and ``content``; ``members`` gives the name ending per column.
+    The first member with the ending is taken into ``body``; where there is none, or the
+    package is broken, ``error`` says so.  A package is opened once for all its members.
     """
+    names, endings = list(members), list(members.values())
+
+    def batch_of(paths: list[str], rows: list[list[Member]]) -> pa.RecordBatch:
+        columns = [
+            pa.array([dict(zip(("body", "error"), row[i])) for row in rows], _MEMBER)
+            for i in range(len(names))
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), *columns], names=["source_path", *names]
+        )
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, size = [], 0
+            paths, rows, size = [], [], 0
             for path, content in zip(batch.column("path"), batch.column("content")):
-                body, error = _read_member(content.as_py(), ending)
-                rows.append((path.as_py(), body, error))
-                size += len(body or "")
+                paths.append(path.as_py())
+                rows.append(_read_members(content.as_py(), endings))
+                size += sum(len(body or "") for body, _ in rows[-1])
                 if len(rows) == _BATCH_ROWS or size > _BATCH_CHARS:
-                    yield _documents(rows)
-                    rows, size = [], 0
-            yield _documents(rows)
-
-    return (
-        files.select("path", "content")
-        .mapInArrow(unzip, _UNZIPPED)
-        .select("source_path", _asset(suffix), "body", "error")
-    )
+                    yield batch_of(paths, rows)
+                    paths, rows, size = [], [], 0
+            yield batch_of(paths, rows)
 
+    schema = ", ".join(f"`{n}` struct<body string, error string>" for n in names)
+    packages = files.select("path", "content").mapInArrow(unzip, f"source_path string, {schema}")
+    return packages.select("source_path", _asset(suffix), *names)
 
-def _documents(rows: list[tuple[str, str | None, str | None]]) -> pa.RecordBatch:
-    columns = [pa.array([row[i] for row in rows], pa.string()) for i in range(3)]
-    return pa.RecordBatch.from_arrays(columns, names=["source_path", "body", "error"])
+
+def unzip_members(files: DataFrame, suffix: str, ending: str) -> DataFrame:
+    """One member per package: ``source_path, asset_name, body, error``."""
+    packages = unzip_packages(files, suffix, {"member": ending})
+    return packages.select("source_path", "asset_name", "member.body", "member.error")
 
 
 def _asset(suffix: str) -> Column:
     return asset_name(F.col("source_path"), suffix).alias("asset_name")
 
 
-def scan_archives(
-    spark: SparkSession, paths: str | Sequence[str], suffix: str, ending: str
+def scan_packages(
+    spark: SparkSession, paths: str | Sequence[str], suffix: str, members: dict[str, str]
 ) -> DataFrame:
     """Packages under ``paths`` with the given file suffix, unzipped."""
     files, too_large = binary_files(spark, paths, f"*{suffix}")
-    rejected = too_large.select(
-        F.col("path").alias("source_path"), F.lit(None).cast("string").alias("body"), "error"
-    ).select("source_path", _asset(suffix), "body", "error")
-    return unzip_members(files, suffix, ending).unionByName(rejected)
+    failed = F.struct(F.lit(None).cast("string").alias("body"), "error")
+    rejected = too_large.withColumnRenamed("path", "source_path").select(
+        "source_path", _asset(suffix), *[failed.alias(name) for name in members]
+    )
+    return unzip_packages(files, suffix, members).unionByName(rejected)
+
+
+def scan_archives(
+    spark: SparkSession, paths: str | Sequence[str], suffix: str, ending: str
+) -> DataFrame:
+    """One member of the packages under ``paths``: ``source_path, asset_name, body, error``."""
+    packages = scan_packages(spark, paths, suffix, {"member": ending})
+    return packages.select("source_path", "asset_name", "member.body", "member.error")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.quality import split_rejects
 from ..sources.archives import unzip_members
 from ..sources.documents import flag_bad_json
 
@@ -30,12 +31,22 @@ def stream_archives(spark: SparkSession, path: str, suffix: str, ending: str) ->
 
 
 def load_arrivals(
-    documents: DataFrame, load: Callable[[DataFrame], object], checkpoint: str
+    documents: DataFrame,
+    load: Callable[[DataFrame], object],
+    keep_rejects: Callable[[DataFrame], object],
+    checkpoint: str,
 ) -> StreamingQuery:
-    """Runs ``load`` on every batch of usable new documents until none is left."""
+    """Runs ``load`` on the usable new documents until none is left.
+
+    ``keep_rejects`` gets the documents of every batch that failed, with their ``error``.
+    """
 
     def on_batch(batch: DataFrame, _: int) -> None:
-        load(batch.filter("error IS NULL").drop("error"))
+        batch.persist()
+        good, rejects = split_rejects(batch)
+        load(good)
+        keep_rejects(rejects)
+        batch.unpersist()
 
     return (
         documents.writeStream.foreachBatch(on_batch)

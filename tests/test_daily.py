@@ -101,7 +101,7 @@ def world(spark, tmp_path_factory):
 
 def test_first_run_counts(world):
     written = world["first"]
-    assert written["stage_maps"] == 2
+    assert written["stage_mappings"] == 2
     expected = {
         "content": 1, "transformation": 2, "transformation_session_properties": 1,
         "transformation_advanced_properties": 1, "transformation_data_adapter": 1,
@@ -138,14 +138,15 @@ def test_values(world):
 
 
 def test_rejects_are_kept(world):
-    errors = {r["error"] for r in world["store"].read("stage_maps").filter("error IS NOT NULL").collect()}
-    assert errors == {"corrupt archive"}
+    good, bad = jobs.staged(world["store"], "maps")
+    assert good.count() == 1
+    assert rows_of(bad, "asset_name", "error") == [("broken", "corrupt archive")]
 
 
 def test_audit_counts_sources(world):
     got = {r["table_name"]: r for r in jobs.staging_audit(world["store"]).collect()}
-    assert (got["stage_maps"]["sources"], got["stage_maps"]["failed"]) == (2, 1)
-    assert not got["stage_maps"]["success"] and got["stage_tasks"]["success"]
+    assert (got["maps"]["sources"], got["maps"]["failed"]) == (2, 1)
+    assert not got["maps"]["success"] and got["tasks"]["success"]
     assert (got[None]["records_read"], got[None]["failed"]) == (6, 2)
 
 

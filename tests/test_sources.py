@@ -1,6 +1,5 @@
 """Scans of real files: archives, JSON, CSV, XML, sheets, project paths, streams."""
 
-import json
 import zipfile
 
 from conftest import mapping, rows_of, write_zip
@@ -171,7 +170,10 @@ def test_stream_of_arrivals(spark, tmp_path):
 
     def arrive(day):
         docs = stream_archives(spark, str(packages), *archives.MAPPINGS)
-        load_arrivals(docs, lambda d: jobs.load_content(store, d, day), checkpoint).awaitTermination()
+        load_arrivals(
+            docs, lambda d: jobs.load_content(store, d, day),
+            lambda d: store.append("rejects", d), checkpoint,
+        ).awaitTermination()
         return rows_of(store.read("content"), "id", "name", "Dt_Inserted")
 
     write_zip(packages / "a.DTEMPLATE.zip", {"@3.bin": mapping("M1", "one", [])})
@@ -184,15 +186,26 @@ def test_stream_of_arrivals(spark, tmp_path):
     assert [r[:2] for r in second] == [("M1", "two"), ("M2", "new")]
     assert second[0][2] == first[0][2]
     assert arrive("2024-01-03 00:00:00") == second
+    assert rows_of(store.read("rejects"), "asset_name", "error") == [("bad", "corrupt archive")]
 
 
 def test_staged_json_errors(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    docs = spark.createDataFrame(
-        [("p1", json.dumps({"a": 1}), None), ("p2", "{", None), ("p3", None, "corrupt archive")],
-        "source_path string, body string, error string",
+    packages = spark.createDataFrame(
+        [("p1", "p1", ('{"a": 1}', None)), ("p2", "p2", ("{", None)), ("p3", "p3", (None, "corrupt archive"))],
+        "source_path string, asset_name string, tasks struct<body: string, error: string>",
     )
-    assert jobs.stage_documents(store, "tasks", docs) == {"stage_tasks": 3}
+    assert jobs.stage_packages(store, "stage_tasks", packages) == {"stage_tasks": 3}
     good, bad = jobs.staged(store, "tasks")
     assert rows_of(good, "source_path") == [("p1",)]
     assert rows_of(bad, "source_path", "error") == [("p2", "not a JSON document"), ("p3", "corrupt archive")]
+
+
+def test_a_package_gives_all_its_members_at_once(spark, tmp_path):
+    write_zip(tmp_path / "a.DTEMPLATE.zip", {"1@3.bin": "map", "fileRecord.json": "records"})
+    write_zip(tmp_path / "b.DTEMPLATE.zip", {"1@3.bin": "only"})
+    members = {"maps": "@3.bin", "file_records": "fileRecord.json"}
+    got = archives.scan_packages(spark, str(tmp_path), ".DTEMPLATE.zip", members)
+    assert rows_of(got, "asset_name", "maps.body", "file_records.body", "file_records.error") == [
+        ("a", "map", "records", None), ("b", "only", None, "member not found")
+    ]
