@@ -10,11 +10,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Evens out a source with fewer splits than cores before CPU-heavy parsing.
+    """Evens out a source with fewer files than cores before CPU-heavy parsing.
 
-    Large sources have more splits than cores and pass untouched, without a shuffle.
+    A small file is one row group and so one busy task, however it is split.  Large
+    sources have more files than cores and pass untouched, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

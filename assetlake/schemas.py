@@ -38,10 +38,6 @@ class Table:
             self, "schema", T.StructType([T.StructField(n, _TYPES[t or "string"]) for n, t in pairs])
         )
 
-    @property
-    def update_columns(self) -> tuple[str, ...]:
-        return tuple(c for c in self.columns if c not in self.keys and c not in self.insert_only)
-
 
 _STAMPS = "Dt_Inserted:time Dt_updated:time"
 _CODES = "CodOnda CodProcess"

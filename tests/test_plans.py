@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from assetlake.operators.history import current_batch, latest_batch
+from assetlake.operators.history import latest_batch
 from assetlake.operators.merge import doomed_keys, upsert, without_keys
 from assetlake.plans.catalog import QUERIES
 
