@@ -7,9 +7,9 @@ is done as soon as every bin is filled.  So each coordinate fills, after about
 n + t log t steps, and the share of equal coordinates is concentrated about the Jaccard
 similarity like that of as many independent minima.
 
-Documents whose bands agree are candidates.  Each is compared with the least document of its
-bucket, on full sets; what a bucket leaves in several components is searched again by an exact
-prefix join (rarest shingles first).  So no bucket is multiplied out and no partner is capped.
+Documents whose bands agree are candidates.  Each is compared with one leader of its bucket, on
+full sets; a bucket left in several components gets other leaders for STAR_ROUNDS turns, and what
+is then apart is searched by an exact prefix join (rarest shingles first).  So no bucket is multiplied out and no partner is capped.
 
 Edge cases: a text with fewer words than a shingle is one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component; rows with equal sets are linked
@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.sources.scratch import stored
@@ -33,6 +33,7 @@ from .components import components
 from .words import WordHashes, blocks, mixed, set_key, shingle_set, word_hashes
 
 BANDS, ROWS = 16, 4  # at a similarity of 0.85 a pair is missed with 8 in a million, at 0.8 with 2 in 10,000
+STAR_ROUNDS = 2  # how often a bucket gets another leader before the prefix join takes what is left
 WEIGHT_BUCKETS = 1 << 20
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -65,8 +66,33 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set: 1024 bits for up to 512 elements, then four times as many each time."""
+    bits = 1024
+    while len(shingles) > bits // 2:
+        bits *= 4
+    at = (shingles >> np.uint64(7)) & np.uint64(bits - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def alike(size_a: str, size_b: str, bits_a: str, bits_b: str, percent: int) -> Column:
+    """False only for sets that can't have the similarity, by their sizes and bitmaps."""
+    differing = F.aggregate(
+        F.zip_with(bits_a, bits_b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
+        F.lit(0).cast("long"),
+        lambda total, n: total + n,
+    )  # null for bitmaps of two lengths
+    a, b = F.col(size_a), F.col(size_b)
+    return (
+        (100 * a >= percent * b)
+        & (100 * b >= percent * a)
+        & ((100 + percent) * F.coalesce(differing, F.lit(0)) <= (100 - percent) * (a + b))
+    )
+
+
 def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, text_key, n_shingles, node (hash of the whole set; null if empty) and band keys of every row."""
+    """doc_id, text_key, n_shingles, node (hash of the whole set; null if empty), band keys and bitmap of every row."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -80,12 +106,13 @@ def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([k if len(s) else [] for k, s in zip(keys, sets, strict=True)], pa.list_(pa.int64())),
+                    pa.array([bitmap(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "n_shingles", "node", "bands"],
+                ["doc_id", "text_key", "n_shingles", "node", "bands", "bits"],
             )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
-        sign, "doc_id long, text_key long, n_shingles long, node long, bands array<long>"
+        sign, "doc_id long, text_key long, n_shingles long, node long, bands array<long>, bits array<long>"
     )
 
 
@@ -116,7 +143,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def prefixes(nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component, size, shingle) of the rarest shingles of each set, as many as an exact join needs.
+    """(node, component, shingle) of the rarest shingles of each set, as many as an exact join needs.
 
     Two sets as alike as asked share one of these.  How rare a shingle is comes from counts in
     WEIGHT_BUCKETS hashed buckets: any fixed order gives the same pairs, a good one few candidates.
@@ -139,64 +166,56 @@ def prefixes(nodes: DataFrame, width: int, percent: int) -> DataFrame:
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, rank = WordHashes(), shared.value
         for batch in blocks(batches, "text"):
-            at, sizes, chosen = [], [], []
+            at, chosen = [], []
             for i, text in enumerate(batch.column("text")):
                 whole = shingle_set(word_hashes(text.as_py(), memo), width)
                 order = np.lexsort((whole, rank[(whole % np.uint64(WEIGHT_BUCKETS)).astype(np.int64)]))
                 need = len(whole) - -(-percent * len(whole) // 100) + 1
                 chosen.append(whole[order[:need]])
                 at.append(np.full(len(chosen[-1]), i))
-                sizes.append(np.full(len(chosen[-1]), len(whole)))
             rows = batch.select(["node", "component"]).take(pa.array(np.concatenate(at)))
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(chosen).view(np.int64))],
-                ["node", "component", "size", "shingle"],
+                [*rows.columns, pa.array(np.concatenate(chosen).view(np.int64))], ["node", "component", "shingle"]
             )
 
     return nodes.select("node", "component", "text").mapInArrow(
-        cut, "node long, component long, size long, shingle long"
+        cut, "node long, component long, shingle long"
     )
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
     signed = stored(signatures(docs, width), "signatures")
-    filled = signed.where("node is not null")
-    bands = filled.groupBy("node").agg(F.first("bands").alias("bands"))
-    buckets = stored(bands.select("node", F.explode("bands").alias("bucket")), "buckets")
-    leaders = buckets.groupBy("bucket").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = buckets.join(leaders, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    pairs = stored(pairs, "pairs")
-    links = _linked(docs, signed, pairs, width, percent)
-    first = components(links, "stars")
-    # what the leaders leave apart although a bucket holds it together
-    of_node = buckets.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_buckets = (
-        of_node.groupBy("bucket")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi")
-        .select("bucket")
-    )
-    rest = stored(of_node.join(mixed_buckets, "bucket", "left_semi").select("node", "component").distinct(), "rest")
-    texts = stored(_texts(docs, signed, rest.select("node")).join(rest, "node"), "rest_texts")
+    nodes = signed.where("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")])
+    nodes = stored(nodes, "nodes")
+    sizes = nodes.select("node", F.col("n_shingles").alias("size"), "bits")
+    buckets = stored(nodes.select("node", F.explode("bands").alias("bucket")), "buckets")
+    links, rest = None, buckets.withColumn("component", F.col("node"))
+    for turn in range(STAR_ROUNDS):
+        pairs = _star(rest, turn).join(_side(sizes, "a"), "a").join(_side(sizes, "b"), "b")
+        pairs = stored(pairs.where(alike("size_a", "size_b", "bits_a", "bits_b", percent)).select("a", "b"), "pairs")
+        found = stored(confirmed(pairs, _texts(docs, signed, pairs), width, percent), "links")
+        links = found if links is None else links.union(found)
+        known = components(links, "stars")
+        # buckets that a round leaves in several components go to the next one
+        of_node = buckets.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        open_buckets = (
+            of_node.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        )
+        rest = stored(of_node.join(open_buckets.select("bucket"), "bucket", "left_semi"), "rest")
+    rest = rest.select("node", "component").distinct()
+    texts = stored(_texts(docs, signed, rest.select(F.col("node").alias("a"), F.col("node").alias("b"))).join(rest, "node"), "rest_texts")
     index = stored(prefixes(texts, width, percent), "prefixes")
-    other = index.select(*[F.col(c).alias(f"{c}_b") for c in ("node", "component", "size")], "shingle")
     shared = index.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    again = (
-        index.join(shared.select("shingle"), "shingle", "left_semi")
-        .join(other, "shingle")
-        .where(
-            (F.col("node") < F.col("node_b"))
-            & (F.col("component") != F.col("component_b"))
-            & (100 * F.col("size") >= percent * F.col("size_b"))
-            & (100 * F.col("size_b") >= percent * F.col("size"))
-        )
-        .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
+    index = index.join(shared.select("shingle"), "shingle", "left_semi").join(sizes, "node")
+    one, two = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size", "bits")]) for x in "ab")
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+    close = (one["shingle"] == two["shingle"]) & apart & alike("size_a", "size_b", "bits_a", "bits_b", percent)
+    again = one.join(two, close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    again = stored(again, "pairs")
     links = links.union(stored(confirmed(again, texts.select("node", "text"), width, percent), "links"))
     last = components(links, "components")
-    rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "text_key")
+    rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits", "text_key")
     least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "component", "left").select(
         "doc_id",
@@ -206,15 +225,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One text for each of ``nodes``: that of the node's least row."""
+def _side(sizes: DataFrame, name: str) -> DataFrame:
+    return sizes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
+
+
+def _star(buckets: DataFrame, turn: int) -> DataFrame:
+    """Each node paired with one node of its bucket, another in each turn, if their components differ."""
+    leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("leader")
+    leaders = buckets.groupBy("bucket").agg(leader)
+    pairs = buckets.join(leaders, "bucket").where("component <> leader.component")
+    return pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct()
+
+
+def _texts(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One text for each node in ``pairs``: that of the node's least row."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = signed.where("node is not null").join(nodes, "node", "left_semi")
     owner = wanted.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("o"))
     owner = owner.select("node", F.col("o.doc_id").alias("owner_id"), F.col("o.text_key").alias("text_key"))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(owner, "text_key")
     return rows.where(F.col("doc_id").eqNullSafe(F.col("owner_id"))).select("node", "text").dropDuplicates(["node"])
-
-
-def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return stored(confirmed(pairs, _texts(docs, signed, nodes), width, percent), "links")
