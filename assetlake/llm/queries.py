@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fast_sketch
+from . import fair_mix, fast_sketch, kd_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards.kd_shards(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = fair_mix.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fast_sketch.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 QUERIES: dict[str, Query] = {
+    "op2_kd_tree_sharding": op2_kd_tree_sharding,
+    "op4_weighted_fair_mix": op4_weighted_fair_mix,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
