@@ -33,8 +33,8 @@ from .components import components
 from .words import WordHashes, blocks, mixed, set_key, shingle_set, word_hashes
 
 BANDS, ROWS = 16, 4  # at a similarity of 0.85 a pair is missed with 8 in a million, at 0.8 with 2 in 10,000
-STAR_ROUNDS = 2  # how often a bucket gets another leader before the prefix join takes what is left
-WEIGHT_BUCKETS = 1 << 20
+STAR_ROUNDS = 1  # how often a bucket gets another leader before the prefix join takes what is left
+WEIGHT_BUCKETS = 1 << 18
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
