@@ -21,6 +21,7 @@ nothing.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .words import blocks
 
 END = "</w>"
-KEPT_STATES, KEPT_WORDS, KEPT_PAIRS = 1 << 19, 1 << 18, 1 << 18
+KEPT_STATES, KEPT_WORDS, KEPT_PAIRS = 1 << 18, 3 << 17, 1 << 17
 SIMPLE = regex.compile(r"[\x00-įı-ɏ]*+")  # NFC keeps these, lower case is one to one
 BLANKS = regex.compile(r"\p{White_Space}+")
 
@@ -67,11 +68,12 @@ class PrefixCounter:
         self.letters = byte_letters()
         pattern = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word = regex.compile(pattern)
+        self.pieces = regex.compile(f"({pattern})")
         added = sorted((t["content"] for t in content["added_tokens"]), key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.states: dict[str, tuple[int, str, int]] = {"": (0, "", 0)}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Steps(self)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Applies the merge rules: always the first of the best-ranked pairs."""
@@ -146,19 +148,15 @@ class PrefixCounter:
             counts.append(self.states[spelt][2])
         return counts
 
-    def steps(self, word: str) -> bytes:
-        """The changes of the count along a pre-token, as 16-bit integers."""
-        known = self.words.get(word)
-        if known is None:
-            if word[0] == "'" and len(word) > 1 and word[1].isalpha():  # 's and the like are one word only when whole
-                counts = [self.in_word("'")[0], *(1 + n for n in self.in_word(word[1:-1])), self.in_word(word)[-1]]
-            else:
-                counts = self.in_word(word)
-            known = np.diff(np.array([0, *counts])).astype(np.int16).tobytes()
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            self.words[word] = known
-        return known
+    def steps(self, piece: str) -> bytes:
+        """The changes of the count along a pre-token, or the blanks between two, as 16-bit integers."""
+        if not piece or piece[0].isspace():
+            return bytes(2 * len(piece))
+        if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():  # 's and the like are one word only when whole
+            counts = [self.in_word("'")[0], *(1 + n for n in self.in_word(piece[1:-1])), self.in_word(piece)[-1]]
+        else:
+            counts = self.in_word(piece)
+        return array("h", [n - before for before, n in zip([0, *counts], counts, strict=False)]).tobytes()
 
     def _count(self, text: str) -> int:
         return len(self.library.encode(text, add_special_tokens=False))
@@ -167,15 +165,7 @@ class PrefixCounter:
         """Steps of a text without added tokens."""
         found: list[bytes] = []
         if SIMPLE.fullmatch(text):
-            at, steps = 0, self.steps
-            for match in self.word.finditer(text.lower()):
-                start, end = match.span()
-                if start > at:
-                    found.append(bytes(2 * (start - at)))
-                found.append(steps(match[0]))
-                at = end
-            found.append(bytes(2 * (len(text) - at)))
-            return found
+            return [*map(self.words.__getitem__, self.pieces.split(text.lower()))]
         for piece in regex.splititer(r"(\p{White_Space}+)", text):
             if not piece or BLANKS.fullmatch(piece):
                 found.append(bytes(2 * len(piece)))
@@ -199,7 +189,7 @@ class PrefixCounter:
             counts, base, at = [], 0, 0
             for match in self.word.finditer(normal):
                 counts += [base] * (match.start() - at)
-                inside = np.cumsum(np.frombuffer(self.steps(match[0]), np.int16))
+                inside = np.cumsum(np.frombuffer(self.words[match[0]], np.int16))
                 counts += (base + inside).tolist()
                 base, at = base + int(inside[-1]), match.end()
             counts += [base] * (len(piece) - at)
@@ -227,6 +217,20 @@ class PrefixCounter:
         return np.cumsum(np.frombuffer(b"".join(parts), np.int16), dtype=np.int32)
 
 
+class _Steps(dict):
+    """Steps of pieces already met."""
+
+    def __init__(self, owner: PrefixCounter):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        found = self[piece] = self.owner.steps(piece)
+        return found
+
+
 _COUNTERS: dict[str, PrefixCounter] = {}
 
 

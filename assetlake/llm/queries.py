@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fair_mix, fast_sketch, kd_shards
+from . import fair_mix, fast_sketch, kd_shards, prefix_tokens
+
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +37,15 @@ def op4_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op9_prefix_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer or public_tokenizers.path(TOKENIZER)
+    counted = prefix_tokens.prefix_tokens(_table(spark, sf_dir, "documents"), path)
+    counted = counted.select("doc_id", "n_bytes", prefix_tokens.n_tokens("prefix_tokens").alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fast_sketch.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -41,6 +53,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
     "op4_weighted_fair_mix": op4_weighted_fair_mix,
+    "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
