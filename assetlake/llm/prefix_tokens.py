@@ -150,7 +150,7 @@ class PrefixCounter:
 
     def steps(self, piece: str) -> bytes:
         """The changes of the count along a pre-token, or the blanks between two, as 16-bit integers."""
-        if not piece or piece[0].isspace():
+        if not piece or BLANKS.match(piece):
             return bytes(2 * len(piece))
         if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():  # 's and the like are one word only when whole
             counts = [self.in_word("'")[0], *(1 + n for n in self.in_word(piece[1:-1])), self.in_word(piece)[-1]]
