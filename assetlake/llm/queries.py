@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fair_mix, fast_sketch, kd_shards, prefix_tokens
+from . import fair_mix, fast_sketch, invertible_sketch, kd_shards, prefix_tokens, spaced_seeds, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -19,6 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards.kd_shards(_table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -32,11 +43,19 @@ def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = fair_mix.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op8_invertible_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return invertible_sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op9_prefix_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -51,8 +70,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
+    "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op4_weighted_fair_mix": op4_weighted_fair_mix,
+    "op8_invertible_fingerprints": op8_invertible_fingerprints,
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
