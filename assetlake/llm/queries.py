@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fair_mix, fast_sketch, invertible_sketch, kd_shards, prefix_tokens, spaced_seeds, toxicity
+from . import (
+    fair_mix,
+    fast_sketch,
+    invertible_sketch,
+    kd_shards,
+    passages,
+    prefix_tokens,
+    spaced_seeds,
+    style_tree,
+    toxicity,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -52,6 +62,14 @@ def op4_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op5_paragraph_minhash_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats(_table(spark, sf_dir, "documents"))
+
+
+def op7_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_invertible_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invertible_sketch.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +92,8 @@ QUERIES: dict[str, Query] = {
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op4_weighted_fair_mix": op4_weighted_fair_mix,
+    "op5_paragraph_minhash_banding": op5_paragraph_minhash_banding,
+    "op7_site_style_tree": op7_site_style_tree,
     "op8_invertible_fingerprints": op8_invertible_fingerprints,
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
