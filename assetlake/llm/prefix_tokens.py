@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .words import blocks
 
 END = "</w>"
-KEPT_STATES, KEPT_WORDS, KEPT_PAIRS = 1 << 18, 3 << 17, 1 << 17
+KEPT_STATES, KEPT_WORDS, KEPT_PAIRS = 1 << 19, 3 << 18, 1 << 18
 SIMPLE = regex.compile(r"[\x00-įı-ɏ]*+")  # NFC keeps these, lower case is one to one
 BLANKS = regex.compile(r"\p{White_Space}+")
 
