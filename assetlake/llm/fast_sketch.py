@@ -184,7 +184,10 @@ def prefixes(nodes: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    """doc_id, text_key (xxhash64), n_shingles, component_id and stays of every row of ``docs`` (doc_id, text).
+
+    One document of each component stays: the one with the least doc_id.
+    """
     signed = stored(signatures(docs, width), "signatures")
     nodes = signed.where("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")])
     nodes = stored(nodes, "nodes")
@@ -215,13 +218,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     again = stored(again, "pairs")
     links = links.union(stored(confirmed(again, texts.select("node", "text"), width, percent), "links"))
     last = components(links, "components")
-    rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits", "text_key")
-    least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits")
+    least = rows.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
+    alone = F.col("component").isNull()
+    is_least = F.struct("doc_id", "text_key").eqNullSafe(F.col("least"))
     return rows.join(least, "component", "left").select(
         "doc_id",
+        "text_key",
         "n_shingles",
-        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
-        F.when(F.col("component").isNull(), F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("least"))).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        (alone | is_least).alias("stays"),
     )
 
 

@@ -14,6 +14,7 @@ from . import (
     kd_shards,
     passages,
     prefix_tokens,
+    quotations,
     spaced_seeds,
     style_tree,
     toxicity,
@@ -54,7 +55,8 @@ def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spaced_seeds.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = spaced_seeds.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
 
 
 def op4_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,10 @@ def op5_paragraph_minhash_banding(spark: SparkSession, sf_dir: str) -> DataFrame
     return passages.repeats(_table(spark, sf_dir, "documents"))
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_order(_table(spark, sf_dir, "conversations"))
+
+
 def op7_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(_table(spark, sf_dir, "pages"))
 
@@ -84,7 +90,9 @@ def op9_prefix_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | N
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fast_sketch.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+    found = fast_sketch.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 QUERIES: dict[str, Query] = {
@@ -93,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op4_weighted_fair_mix": op4_weighted_fair_mix,
     "op5_paragraph_minhash_banding": op5_paragraph_minhash_banding,
+    "op6_quotation_linking": op6_quotation_linking,
     "op7_site_style_tree": op7_site_style_tree,
     "op8_invertible_fingerprints": op8_invertible_fingerprints,
     "op9_prefix_token_counts": op9_prefix_token_counts,

@@ -60,7 +60,7 @@ def seeds(rows: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, items: DataFrame, min_share: float = 0.6, min_tokens: int = 6) -> DataFrame:
-    """doc_id, item_id, start, end (token places in the document), equal and share of every overlap.
+    """doc_id, text_key (xxhash64), item_id, start, end (token places in the document), equal and share of every overlap.
 
     ``docs`` has doc_id and text, ``items`` item_id and text.
     """
@@ -74,7 +74,7 @@ def overlaps(docs: DataFrame, items: DataFrame, min_share: float = 0.6, min_toke
         mine = tests.where(n >= full) if length == full else tests.where(n == length)
         part = seeds(mine, ["item_id"], [length])
         tested = part if tested is None else tested.union(part)
-    hit_type = "doc_id bigint, item_id bigint, start bigint, end bigint, equal int, share double"
+    hit_type = "doc_id bigint, text_key bigint, item_id bigint, start bigint, end bigint, equal int, share double"
     if tested is None:
         return docs.sparkSession.createDataFrame([], hit_type)
     tested = stored(tested.select("item_id", F.col("pos").alias("item_pos"), "seed"), "seeds")
@@ -101,6 +101,7 @@ def overlaps(docs: DataFrame, items: DataFrame, min_share: float = 0.6, min_toke
     equal = F.size(F.filter(F.zip_with(here, there, lambda a, b: a == b), lambda e: e))
     laid = laid.select(
         "doc_id",
+        "text_key",
         "item_id",
         start.cast("long").alias("start"),
         end.cast("long").alias("end"),
@@ -110,7 +111,11 @@ def overlaps(docs: DataFrame, items: DataFrame, min_share: float = 0.6, min_toke
     return laid.where(F.col("share") >= min_share).distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The doc_id of every document with an overlap, with the number of items and the largest share."""
-    found = overlaps(docs, items, **options)
-    return found.groupBy("doc_id").agg(F.count_distinct("item_id").alias("items"), F.max("share").alias("share"))
+def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without an overlap, with all their columns."""
+    found = stored(overlaps(docs, items, **options).select("doc_id", "text_key").distinct(), "contaminated")
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    found = found.toDF("_found_id", "_found_key")
+    same = docs["doc_id"].eqNullSafe(F.col("_found_id")) & (F.xxhash64(docs["text"]) == F.col("_found_key"))
+    return docs.join(found, same, "left_anti")

@@ -264,7 +264,8 @@ def reader(shared) -> Reader:
 
 
 def scored(docs: DataFrame, costs: np.ndarray, weights: np.ndarray) -> DataFrame:
-    """``docs`` with ``_toxicity`` (0 to 1) beside all its columns; the text is in ``text``."""
+    """``docs`` with ``_toxicity`` (0 to 1, in place of a column of that name) beside all its columns."""
+    docs = docs.drop("_toxicity")
     context = docs.sparkSession.sparkContext
     model, linear = context.broadcast(costs), context.broadcast(weights)
 
