@@ -44,7 +44,7 @@ KEPT_WORDS = 1 << 18
 # Signs and the letters they may stand for.
 LOOK_ALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¢": "c",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c",
 }
 # Costs in nats: a sign for a letter, a letter struck twice, more often, a letter set apart, a sign kept inside a word.
 SWAP, TWICE, AGAIN, APART, KEPT = 1.5, 3.0, 1.0, 0.5, 6.0
