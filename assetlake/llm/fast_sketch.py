@@ -159,8 +159,8 @@ def prefixes(nodes: DataFrame, width: int, percent: int) -> DataFrame:
 
     counted = nodes.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     weights = np.zeros(WEIGHT_BUCKETS, dtype=np.int64)
-    found = counted.toPandas()  # at most WEIGHT_BUCKETS rows
-    weights[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    found = counted.toArrow()  # at most WEIGHT_BUCKETS rows
+    weights[found["bucket"].to_numpy()] = found["n"].to_numpy()
     shared = nodes.sparkSession.sparkContext.broadcast(weights)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
