@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +16,11 @@ def lineage(
     content: DataFrame,
     connections: DataFrame,
 ) -> DataFrame:
-    """One row per adapter object with its parents; the connection may be unknown.
+    """One row per adapter object with its parents, those being NULL that are not known.
 
-    All joins are plain equi-joins on the carried ids, so the optimizer is free to
-    broadcast by measured size and to split hot keys at run time.  Content is found by
+    Codes that are NULL are equal to each other, as names without codes have them.  All joins
+    are equi-joins from the side of the objects, so the optimizer is free to broadcast by
+    measured size and to split hot keys at run time.  Content is found by
     name; of several documents with one name and the same codes the last id is taken, so
     that copies do not multiply the rows.
     """
@@ -42,14 +46,18 @@ def lineage(
         F.col("id").alias("connection_id"), F.col("name").alias("connection_name"),
         F.col("type").alias("connection_type"),
     )
-    return (
-        object_rows.join(adapter_rows, ["id_data_adapter", "id_transf", *codes])
-        .join(transformation_rows, ["id_transf", *codes])
-        .join(content_rows, ["content_name", *codes])
-        .join(connection_rows, "connection_id", "left")
-        .select(
-            "object_id", "object_name", "object_path", "id_data_adapter", "adapter_type",
-            "id_transf", "transformation_name", "content_id", "content_name",
-            "connection_id", "connection_name", "connection_type", *codes,
-        )
+    joined = _join(object_rows, adapter_rows, ["id_data_adapter", "id_transf", *codes])
+    joined = _join(joined, transformation_rows, ["id_transf", *codes])
+    joined = _join(joined, content_rows, ["content_name", *codes])
+    return joined.join(connection_rows, "connection_id", "left").select(
+        "object_id", "object_name", "object_path", "id_data_adapter", "adapter_type",
+        "id_transf", "transformation_name", "content_id", "content_name",
+        "connection_id", "connection_name", "connection_type", *codes,
     )
+
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys of which NULL equals NULL."""
+    other = right.select(*[F.col(c).alias(f"_right_{c}" if c in keys else c) for c in right.columns])
+    same = reduce(and_, [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys])
+    return left.join(other, same, "left").drop(*[f"_right_{k}" for k in keys])

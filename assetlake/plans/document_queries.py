@@ -23,7 +23,7 @@ from ..operators.mappings import (
 from ..operators.quality import load_audit, naming_anomalies, naming_summary, split_rejects
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
 from ..schemas import PARAMETER_FLAGS, PARAMETER_LISTS, PARAMETER_OBJECTS
-from ..sources.documents import flag_bad_json
+from ..sources.documents import flag_bad_json, json_error
 from ..sources.scratch import stored
 from .derived import (
     CONTENT_NAME,
@@ -236,12 +236,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     docs = mapping_documents(spark, sf, keep=["o_orderstatus"])
-    node = F.try_parse_json("body")
+    node, failed = F.try_parse_json("body"), json_error(F.col("body")).isNotNull()
     iid = F.try_variant_get(F.col("v"), "$.content['$$IID']", "string")
-    outcomes = docs.select("o_orderstatus", "source_path", node.alias("v")).select(
+    outcomes = docs.select("o_orderstatus", "source_path", node.alias("v"), failed.alias("f")).select(
         F.col("o_orderstatus").alias("table_name"),
         "source_path",
-        F.when(F.col("v").isNull(), "failed")
+        F.when(F.col("f"), "failed")
         .when(F.coalesce(iid, F.lit("")) == "", "ignored")
         .otherwise("written")
         .alias("outcome"),
@@ -251,8 +251,7 @@ def _(spark, sf):
 
 @query(
     "lineage",
-    f"""WITH {_AD}, good AS (SELECT * FROM ad WHERE o_orderkey % 3 < 2 AND k % 17 > 1
-        AND "CodOnda" IS NOT NULL)
+    f"""WITH {_AD}, good AS (SELECT * FROM ad WHERE o_orderkey % 3 < 2 AND k % 17 > 1)
       SELECT object_id, o_orderstatus AS object_name, concat('/p/', o_custkey) AS object_path,
         adapter_id AS id_data_adapter, o_orderstatus AS adapter_type, id AS id_transf,
         name AS transformation_name, concat('M', o_orderkey) AS content_id, content_name,

@@ -137,6 +137,7 @@ def _(spark, sf):
     store = _store(spark)
     rows = package_rows(spark, sf).select(
         F.concat(F.lit("lists/"), "id").alias("source_path"),
+        F.lit(0).cast("long").alias("_pos"),
         "*",
         F.lit(None).cast("string").alias("error"),
     )

@@ -70,6 +70,14 @@ def stage_packages(store: TableStore, name: str, packages: DataFrame) -> Written
     return {name: store.overwrite(name, packages.withColumns(checked))}
 
 
+def stage_nothing(store: TableStore, name: str) -> Written:
+    """An empty staging table: what a run could not stage is not there for its loads."""
+    kinds = [kind for kind, table in STAGED.items() if table == name]
+    columns = [f"{kind} struct<body string, error string>" for kind in kinds]
+    schema = ", ".join(["source_path string", "asset_name string", *columns])
+    return {name: store.overwrite(name, store.spark.createDataFrame([], schema))}
+
+
 def _staged(store: TableStore, kind: str) -> DataFrame:
     packages = store.read(STAGED[kind])
     return packages.select("source_path", "asset_name", f"{kind}.body", f"{kind}.error")
@@ -182,7 +190,7 @@ def load_package_contents(store: TableStore, rows: DataFrame, run_ts) -> Written
     good, _ = split_rejects(store.read("stage_packages"))
     name = "ContentsofExportPackage"
     contents = derive_package_contents(good, run_ts)
-    return {name: store.upsert(name, contents, ["source_path"])}
+    return {name: store.upsert(name, contents, ["source_path", "_pos"])}
 
 
 def load_exported_objects(

@@ -253,4 +253,4 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "package-csv")
     package_rows(spark, sf).write.csv(path, header=True, quoteAll=True, escape='"')
-    return scan_package_csv(spark, path).drop("source_path")
+    return scan_package_csv(spark, path).drop("source_path", "_pos")

@@ -10,10 +10,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Evens out a source with fewer files than cores before CPU-heavy parsing.
+    """Evens out the rows before CPU-heavy building of documents from them.
 
-    A small file is one row group and so one busy task, however it is split.  Large
-    sources have more files than cores and pass untouched, without a shuffle.
+    The rows are a fraction of the documents, so the shuffle is small beside what follows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition()

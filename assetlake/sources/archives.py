@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import asset_name
-from .files import binary_files
+from .files import binary_files, opened
 
 # Package kinds as (file suffix, ending of the wanted member).
 MAPPINGS = (".DTEMPLATE.zip", "@3.bin")
@@ -26,15 +25,17 @@ def _open_member(archive: zipfile.ZipFile, ending: str) -> Member:
     member = next((n for n in archive.namelist() if n.endswith(ending)), None)
     if member is None:
         return None, "member not found"
+    if archive.getinfo(member).file_size > _TEXT_BYTES:
+        return None, "member is longer than a text value can be"
     try:
         return archive.read(member).decode("utf-8"), None
     except UnicodeDecodeError:
         return None, "member is not UTF-8 text"
 
 
-def _read_members(content: bytes, endings: Sequence[str]) -> list[Member]:
+def _read_members(path: str, content: bytes | None, endings: Sequence[str]) -> list[Member]:
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with opened(path, content) as file, zipfile.ZipFile(file) as archive:
             return [_open_member(archive, ending) for ending in endings]
     except zipfile.BadZipFile:
         reason = "corrupt archive"
@@ -45,6 +46,7 @@ def _read_members(content: bytes, endings: Sequence[str]) -> list[Member]:
 
 # Packages handed on in one batch at most; a batch ends earlier at this many characters.
 _BATCH_ROWS, _BATCH_CHARS = 1000, 8_000_000
+_TEXT_BYTES = 2**31 - 64  # the most that one text value holds
 _MEMBER = pa.struct([("body", pa.string()), ("error", pa.string())])
 
 
@@ -70,12 +72,14 @@ def unzip_packages(files: DataFrame, suffix: str, members: dict[str, str]) -> Da
         for batch in batches:
             paths, rows, size = [], [], 0
             for path, content in zip(batch.column("path"), batch.column("content")):
-                paths.append(path.as_py())
-                rows.append(_read_members(content.as_py(), endings))
-                size += sum(len(body or "") for body, _ in rows[-1])
-                if len(rows) == _BATCH_ROWS or size > _BATCH_CHARS:
+                found = _read_members(path.as_py(), content.as_py(), endings)
+                length = sum(len(body or "") for body, _ in found)
+                if len(rows) == _BATCH_ROWS or rows and size + length > _BATCH_CHARS:
                     yield batch_of(paths, rows)
                     paths, rows, size = [], [], 0
+                paths.append(path.as_py())
+                rows.append(found)
+                size += length
             yield batch_of(paths, rows)
 
     schema = ", ".join(f"`{n}` struct<body string, error string>" for n in names)
@@ -97,12 +101,7 @@ def scan_packages(
     spark: SparkSession, paths: str | Sequence[str], suffix: str, members: dict[str, str]
 ) -> DataFrame:
     """Packages under ``paths`` with the given file suffix, unzipped."""
-    files, too_large = binary_files(spark, paths, f"*{suffix}")
-    failed = F.struct(F.lit(None).cast("string").alias("body"), "error")
-    rejected = too_large.withColumnRenamed("path", "source_path").select(
-        "source_path", _asset(suffix), *[failed.alias(name) for name in members]
-    )
-    return unzip_packages(files, suffix, members).unionByName(rejected)
+    return unzip_packages(binary_files(spark, paths, f"*{suffix}"), suffix, members)
 
 
 def scan_archives(

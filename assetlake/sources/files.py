@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Sequence
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A row holds at most 2 GiB; larger files are reported, not read.
-MAX_FILE_BYTES = 2_000_000_000
+# A row holds at most 2 GiB; a larger file goes to its task as a path and is opened there.
+ROW_BYTES = 2_000_000_000
 
 
-def binary_files(
-    spark: SparkSession, paths: str | Sequence[str], name_filter: str
-) -> tuple[DataFrame, DataFrame]:
-    """Readable files (``path, content``) and those that are too large (``path, error``).
+def binary_files(spark: SparkSession, paths: str | Sequence[str], name_filter: str) -> DataFrame:
+    """``path, content`` of every file; ``content`` is NULL for files that no row can hold.
 
-    The length filter is pushed into the scan, so an oversized file is never opened.
+    The length filters are pushed into the scans: small files are read by the one, of large
+    files the other gives the path only.
     """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", name_filter)
         .load(paths if isinstance(paths, str) else list(paths))
     )
-    readable = files.filter(F.col("length") <= MAX_FILE_BYTES).select("path", "content")
-    too_large = files.filter(F.col("length") > MAX_FILE_BYTES).select(
-        "path", F.lit("file over the size limit").alias("error")
+    small = files.filter(F.col("length") <= ROW_BYTES).select("path", "content")
+    large = files.filter(F.col("length") > ROW_BYTES).select(
+        "path", F.lit(None).cast("binary").alias("content")
     )
-    return readable, too_large
+    return small.union(large)
+
+
+def opened(path: str, content: bytes | None) -> BinaryIO:
+    """A file as a seekable stream: its bytes, or its path where the bytes did not fit a row."""
+    if content is not None:
+        return io.BytesIO(content)
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)

@@ -61,11 +61,16 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The paths that are there, sorted; missing ones are skipped."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
-    def exists(path: str) -> bool:
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(conf).exists(hadoop_path)
-
-    return sorted(p for p in set(paths) if exists(p))
+    def names_in(parent: str) -> set[str]:
+        folder = jvm.org.apache.hadoop.fs.Path(parent)
+        system = folder.getFileSystem(conf)
+        listed = system.listStatus(folder) if system.exists(folder) else []
+        return {status.getPath().getName() for status in listed}
+
+    # each parent folder is listed once, whatever the number of paths in it
+    wanted = {p: p.rpartition("/") for p in set(paths)}
+    there = {parent: names_in(parent) for parent in {parts[0] for parts in wanted.values()}}
+    return sorted(p for p, (parent, _, name) in wanted.items() if name in there[parent])
 
 
 def with_path_columns(df: DataFrame, path: Column | None = None) -> DataFrame:

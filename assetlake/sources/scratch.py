@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one where it is unset."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session uses a folder below its warehouse; on a cluster there
+    is no folder to guess, so the setting is required.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="assetlake-"))
-        folder = context.getCheckpointDir()
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return folder.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/assetlake-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/assetlake/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in a folder of this application."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,3 +36,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all intermediate data of this application; its frames can't be read afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,11 +8,10 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .files import binary_files
+from .files import binary_files, opened
 
 # The name spaces of the export format.
 _BASE = "http://schemas.active-endpoints.com/appmodules/"
@@ -145,21 +144,39 @@ ITEM_SCHEMA = T.StructType(
     ]
 )
 _ITEMS_PER_BATCH = 500
+_SERVER_TIME, _ITEM_TAG = (f"{{{NAMESPACES['types1']}}}{t}" for t in ("CurrentServerDateTime", "Item"))
 
 
-def _item_rows(path: str, content: bytes) -> Iterator[dict]:
+def _item_rows(path: str, content: bytes | None) -> Iterator[dict]:
     row = dict.fromkeys(ITEM_SCHEMA.names)
     row["source_path"] = path
     try:
-        root = ElementTree.fromstring(content)
-    except (ElementTree.ParseError, ValueError, LookupError) as error:
+        # A first pass tells a broken file before any of its items is handed on.
+        times = [e.text or "" for e in _children(path, content) if e.tag == _SERVER_TIME]
+    except Exception as error:  # one bad file must not stop the load
         yield row | {"error": f"not an XML document: {error}"}
         return
-    row["server_time"] = root.findtext("types1:CurrentServerDateTime", None, NAMESPACES)
-    for pos, element in enumerate(root.findall("types1:Item", NAMESPACES)):
+    row["server_time"] = times[0] if times else None
+    items = (e for e in _children(path, content) if e.tag == _ITEM_TAG)
+    for pos, element in enumerate(items):
         yield row | {"pos": pos, "item": _ITEM.read(element)}
 
 
+def _children(path: str, content: bytes | None) -> Iterator[ElementTree.Element]:
+    """The children of the root one by one; each is dropped when the next one is asked for."""
+    depth, root = 0, None
+    with opened(path, content) as file:
+        for event, element in ElementTree.iterparse(file, ("start", "end")):
+            if event == "start":
+                root = element if root is None else root
+                depth += 1
+                continue
+            depth -= 1
+            if depth == 1:
+                yield element
+                root.clear()
+
+
 def parse_taskflows(files: DataFrame) -> DataFrame:
     """One row per item of every file (``path``, ``content``); a broken file is an error row."""
     schema = to_arrow_schema(ITEM_SCHEMA)
@@ -180,6 +197,4 @@ def parse_taskflows(files: DataFrame) -> DataFrame:
 
 def scan_taskflow_xml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Items of every ``*.xml`` file under ``paths``."""
-    files, too_large = binary_files(spark, paths, "*.xml")
-    rejected = too_large.select(F.col("path").alias("source_path"), "error")
-    return parse_taskflows(files).unionByName(rejected, allowMissingColumns=True)
+    return parse_taskflows(binary_files(spark, paths, "*.xml"))

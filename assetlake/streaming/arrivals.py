@@ -43,10 +43,12 @@ def load_arrivals(
 
     def on_batch(batch: DataFrame, _: int) -> None:
         batch.persist()
-        good, rejects = split_rejects(batch)
-        load(good)
-        keep_rejects(rejects)
-        batch.unpersist()
+        try:
+            good, rejects = split_rejects(batch)
+            load(good)
+            keep_rejects(rejects)
+        finally:
+            batch.unpersist()
 
     return (
         documents.writeStream.foreachBatch(on_batch)

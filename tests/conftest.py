@@ -10,13 +10,15 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from assetlake.session import local_session  # noqa: E402
+from assetlake.sources.scratch import remove_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session()
     session.conf.set("spark.sql.shuffle.partitions", "3")
-    return session
+    yield session
+    remove_scratch(session)
 
 
 def write_zip(path: Path, members: dict[str, str]) -> None:

@@ -175,3 +175,19 @@ def test_emptied_slice_is_removed(world):
     rows = store.read("transformation")
     assert store.replace_slices("transformation", rows.filter("false"), ["684"]) == 0
     assert store.read("transformation").count() == 0
+
+
+def test_failed_staging_loads_nothing_of_an_earlier_day(world, monkeypatch):
+    store = world["store"]
+    before = rows_of(store.read("content"))
+    stage = jobs.stage_packages
+
+    def failing(store, name, packages):
+        if name == "stage_mappings":
+            raise RuntimeError("no packages today")
+        return stage(store, name, packages)
+
+    monkeypatch.setattr(jobs, "stage_packages", failing)
+    written = world["run"]("2024-06-03 12:00:00")
+    assert written["stage_mappings"] == 0
+    assert rows_of(store.read("content")) == before

@@ -13,7 +13,7 @@ from assetlake.schemas import TABLES
 from assetlake.sources import archives
 from assetlake.sources.documents import scan_json_documents, scan_package_csv
 from assetlake.sources.paths import asset_paths, project_folders, with_path_columns
-from assetlake.sources.sheets import scan_sheet
+from assetlake.sources.sheets import scan_sheet, sheet_frame
 from assetlake.sources.store import TableStore
 from assetlake.sources.taskflow_xml import NAMESPACES, scan_taskflow_xml
 from assetlake.streaming.arrivals import load_arrivals, stream_archives
@@ -70,6 +70,37 @@ def test_csv(spark, tmp_path):
     assert rows_of(got.filter("error IS NOT NULL"), "id", "error") == [("2", "2,short")]
 
 
+def test_every_list_has_its_own_header_and_keeps_its_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,objectPath,objectName,objectType\n1,/a,n,MTT\n1,/b,NA,DTEMPLATE\n")
+    (tmp_path / "b.csv").write_text("objectType,more,id\nMTT,x,2\n")
+    (tmp_path / "c.csv").write_text("")
+    got = scan_package_csv(spark, str(tmp_path))
+    assert rows_of(got, "id", "_pos", "objectPath", "objectName", "objectType", "error") == [
+        ("1", 0, "/a", "n", "MTT", None), ("1", 1, "/b", None, "DTEMPLATE", None),
+        ("2", 0, None, None, "MTT", None),
+    ]
+    store = TableStore(spark, str(tmp_path / "tables"))
+    jobs.load_package_contents(store, got, "2024-01-01 00:00:00")
+    kept = store.read("ContentsofExportPackage")
+    assert rows_of(kept, "id", "objectType", "objectPath")[0][:2] == ("1", "MTT")
+
+
+def test_workbooks_with_columns_in_another_order(spark):
+    cells = spark.createDataFrame(
+        [("x", 0, 0, "A"), ("x", 0, 1, "B"), ("x", 1, 0, "a1"), ("x", 1, 1, "NA"),
+         ("y", 0, 0, "B"), ("y", 0, 1, "A"), ("y", 1, 0, "b2"), ("y", 1, 1, "a2")],
+        "source_path string, row int, col int, value string",
+    ).withColumn("error", F.lit(None).cast("string"))
+    assert rows_of(sheet_frame(cells), "source_path", "A", "B") == [("x", "a1", None), ("y", "a2", "b2")]
+
+
+def test_a_file_too_large_for_a_row_is_opened_by_its_path(spark, tmp_path):
+    write_zip(tmp_path / "a.MTT.zip", {"mtTask.json": "{}"})
+    files = spark.createDataFrame([(f"file:{tmp_path}/a.MTT.zip", None)], "path string, content binary")
+    got = archives.unzip_members(files, *archives.TASKS)
+    assert rows_of(got, "asset_name", "body", "error") == [("a", "{}", None)]
+
+
 def test_paths(spark, tmp_path):
     (tmp_path / "684_alpha" / "Explore" / "684_alpha" / "Fatos").mkdir(parents=True)
     (tmp_path / "684_alpha" / "SYS").mkdir()
