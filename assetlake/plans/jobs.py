@@ -41,6 +41,7 @@ from ..operators.taskflows import TASKFLOW_ORDER, shred_taskflows
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
 from ..schemas import TABLES, TASKFLOW_TABLES
 from ..sources.documents import json_error
+from ..sources.scratch import stored
 from ..sources.store import TableStore
 
 Written = dict[str, int]
@@ -206,18 +207,22 @@ def load_taskflows(store: TableStore, items: DataFrame, waves: Sequence[str]) ->
     shredded = shred_taskflows(store.read("stage_taskflows"))
     of_waves = reduce(or_, [F.col("Name").like(f"____{wave}%") for wave in waves])
     doomed = doomed_keys(store.read("Item"), of_waves, "EntryId")
-    results = {}
-    for name in TASKFLOW_TABLES:
-        table = TABLES[name]
-        kept = without_keys(store.read(name), doomed, "EntryId")
-        if name == "Dependencies":
-            results[name] = kept.unionByName(fresh_rows(kept, shredded[name], table.keys))
-        else:
-            results[name] = upsert_table(kept, shredded[name], table, TASKFLOW_ORDER)
+    doomed = stored(doomed, "doomed")  # the table it comes from is rewritten below
+
+    def load(name: str) -> int:
+        table, new = TABLES[name], shredded[name]
+
+        def changed(old: DataFrame) -> DataFrame:
+            kept = without_keys(old, doomed, "EntryId")
+            if name == "Dependencies":
+                return kept.unionByName(fresh_rows(kept, new, table.keys))
+            return upsert_table(kept, new, table, TASKFLOW_ORDER)
+
+        return store.rewrite(name, doomed.union(new.select("EntryId")), changed)
+
     # The tables do not depend on each other; writing some at a time keeps the cluster busy.
     with ThreadPoolExecutor(max_workers=5) as pool:
-        counts = pool.map(store.overwrite, results.keys(), results.values())
-        return dict(zip(results, counts))
+        return dict(zip(TASKFLOW_TABLES, pool.map(load, TASKFLOW_TABLES)))
 
 
 def load_standardization(store: TableStore, sheet: DataFrame, wave: str) -> Written:

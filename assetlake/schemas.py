@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -20,7 +20,8 @@ class Table:
     """A target table; ``ddl`` lists its columns as ``name[:type]``, string by default.
 
     ``insert_only`` columns keep the value of the first insert when a key comes again.
-    ``slice_by`` names the column by which whole slices of the table are replaced.
+    ``slice_by`` names the column by which whole slices of the table are replaced; a table
+    that is upserted instead lies in buckets of its first key column (``bucketed``).
     """
 
     name: str
@@ -28,6 +29,7 @@ class Table:
     keys: tuple[str, ...] = ()
     insert_only: tuple[str, ...] = ()
     slice_by: str | None = None
+    bucketed: bool = False
     columns: tuple[str, ...] = field(init=False)
     schema: T.StructType = field(init=False)
 
@@ -247,3 +249,8 @@ TASKFLOW_TABLES = [
     "ServiceOutput",
     "Dependencies",
 ]
+
+# Tables that the loads upsert; all others are replaced, by slices or as a whole.
+_UPSERTED = ["content", "connections", "s_task", "transformation_file_records_hist", "ContentsofExportPackage"]
+for _name in [*_UPSERTED, *TASKFLOW_TABLES]:
+    TABLES[_name] = replace(TABLES[_name], bucketed=True)

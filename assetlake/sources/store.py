@@ -1,30 +1,39 @@
 """Target tables as Parquet folders, or in an external database over JDBC.
 
 A table that is replaced by waves is partitioned by the wave column and written with
-dynamic partition overwrite, so only the touched slices are rewritten.  Any other table is
+dynamic partition overwrite, so only the touched slices are rewritten.  A table that is upserted
+is partitioned by a hash bucket of its first key column; an upsert reads, merges and rewrites the
+buckets that its batch touches and leaves the files of the others.  Any other table is
 a folder of numbered versions: a new one is written next to the one being read and counts
 once Spark's commit marker is there, so a failed load leaves the old version in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import fresh_rows, upsert_table
-from ..schemas import TABLES
+from ..schemas import TABLES, Table
+from .scratch import stored
 
+_BUCKET = "key_bucket"
 _KEPT_VERSIONS = 3
 
 
 class TableStore:
-    """Tables below one root folder that all executors can reach."""
+    """Tables below one root folder that all executors can reach.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``buckets`` is the number of buckets of an upserted table; it must stay the same for the
+    life of the tables.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -50,6 +59,9 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now; an empty frame where it was never written."""
+        return self._read(name)
+
+    def _read(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
         table = TABLES.get(name)
         if table and table.slice_by:
             path = f"{self.root}/{name}" if self._exists(f"{self.root}/{name}") else None
@@ -62,14 +74,18 @@ class TableStore:
             return self.spark.createDataFrame([], table.schema)
         reader = self.spark.read.schema(table.schema) if table else self.spark.read
         frame = reader.parquet(path)
+        if buckets is not None and _BUCKET in frame.columns:  # a table without rows has no buckets
+            frame = frame.filter(F.col(_BUCKET).isin(list(buckets)))
         return frame.select(*table.columns) if table else frame
 
+    @staticmethod
+    def _typed(table: Table, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+
     def _counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, Observation]:
         table = TABLES.get(name)
         if table:
-            rows = rows.select(
-                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]
-            )
+            rows = self._typed(table, rows)
         seen = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
         if table and table.slice_by:
@@ -79,19 +95,26 @@ class TableStore:
 
     def overwrite(self, name: str, rows: DataFrame) -> int:
         """Full reload; gives the number of rows written."""
-        rows, seen = self._counted(name, rows)
-        versions = self._versions(name)
+        table, versions = TABLES.get(name), self._versions(name)
         number = versions[-1] + 1 if versions else 1
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/v-{number}")
+        if table and table.bucketed:
+            self._write(name, self._typed(table, rows), f"{self.root}/{name}/v-{number}", "overwrite")
+            self._drop_old(name, versions)
+            return self.read(name).count()  # from the footers of what was written
+        rows, seen = self._counted(name, rows)
+        self._write(name, rows, f"{self.root}/{name}/v-{number}", "overwrite")
+        self._drop_old(name, versions)
+        return seen.get["rows"]
+
+    def _drop_old(self, name: str, versions: list[int]) -> None:
         for old in versions[: -(_KEPT_VERSIONS - 1)]:
             self._delete(f"{self.root}/{name}/v-{old}")
-        return seen.get["rows"]
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Adds rows to the current version; gives their number."""
         rows, seen = self._counted(name, rows)
         number = (self._versions(name) or [1])[-1]
-        rows.write.mode("append").parquet(f"{self.root}/{name}/v-{number}")
+        self._write(name, rows, f"{self.root}/{name}/v-{number}", "append")
         return seen.get["rows"]
 
     def insert_new(self, name: str, updates: DataFrame, order_cols: Sequence[str] | None) -> int:
@@ -100,8 +123,44 @@ class TableStore:
         return self.append(name, fresh_rows(self.read(name), updates, table.keys, order_cols))
 
     def upsert(self, name: str, updates: DataFrame, order_cols: Sequence[str]) -> int:
-        """Keyed upsert by the table's keys; gives the rows of the table afterwards."""
-        return self.overwrite(name, upsert_table(self.read(name), updates, TABLES[name], order_cols))
+        """Keyed upsert by the table's keys; gives the rows of the buckets it rewrote."""
+        table = TABLES[name]
+        if not table.bucketed:
+            return self.overwrite(name, upsert_table(self.read(name), updates, table, order_cols))
+        batch = stored(updates, "batch")  # read for its buckets and for its rows
+        return self.rewrite(name, batch, lambda old: upsert_table(old, batch, table, order_cols))
+
+    def rewrite(self, name: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Puts ``change`` of them in place of the buckets that hold keys of ``touched``.
+
+        ``touched`` has the first key column of the table.  A repeated run after a failure
+        gives the same rows, as the changes are upserts.
+        """
+        table, versions = TABLES[name], self._versions(name)
+        if not versions:
+            return self.overwrite(name, change(self.read(name)))
+        numbers = [r[0] for r in touched.select(self._bucket(table)).distinct().collect()]  # at most ``buckets``
+        # stored first, as it is counted, written, and must not read what is being replaced
+        rows = stored(self._typed(table, change(self._read(name, numbers))), "rewritten")
+        rows = rows.withColumn(_BUCKET, self._bucket(table))
+        filled = {r[_BUCKET]: r["count"] for r in rows.groupBy(_BUCKET).count().collect()}
+        path = f"{self.root}/{name}/v-{versions[-1]}"
+        writer = rows.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(_BUCKET).parquet(path)
+        for number in set(numbers) - set(filled):
+            self._delete(f"{path}/{_BUCKET}={number}")
+        return sum(filled.values())
+
+    def _bucket(self, table: Table) -> Column:
+        return F.pmod(F.xxhash64(F.col(table.keys[0]).cast("string")), F.lit(self.buckets)).cast("int")
+
+    def _write(self, name: str, rows: DataFrame, path: str, mode: str) -> None:
+        table = TABLES.get(name)
+        if table and table.bucketed:
+            rows = rows.withColumn(_BUCKET, self._bucket(table)).repartition(_BUCKET)
+            rows.write.mode(mode).partitionBy(_BUCKET).parquet(path)
+        else:
+            rows.write.mode(mode).parquet(path)
 
     def replace_slices(self, name: str, rows: DataFrame, values: Sequence[str]) -> int:
         """Replaces whole slices of a sliced table; a slice without rows is removed."""

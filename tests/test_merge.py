@@ -86,3 +86,25 @@ def test_cascade_keeps_rows_without_key(spark):
     out = cascade_delete({"p": parent, "c": child}, "p", F.col("n").like("____684%"), "id")
     assert rows_of(out["p"]) == [("e2", "tf__702_x")]
     assert rows_of(out["c"]) == [(2, "e2"), (3, None)]
+
+
+def test_upsert_leaves_the_files_of_untouched_buckets(spark, tmp_path):
+    from assetlake.schemas import TABLES
+    from assetlake.sources.store import TableStore
+
+    store, table = TableStore(spark, str(tmp_path)), TABLES["Flow"]
+    rows = [(f"E{i}", "f", "s", str(i)) for i in range(60)]
+    store.upsert("Flow", spark.createDataFrame(rows, table.schema), ["FlowId"])
+
+    def files():
+        return {str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.parquet")}
+
+    before = files()
+    store.upsert("Flow", spark.createDataFrame([("E7", "g", "s", "new"), ("E99", "g", "s", "x")], table.schema), ["FlowId"])
+    after = files()
+    assert len(before) > 8 and len(before - after) in (1, 2) and len(after - before) in (1, 2)
+    kept = {r["EntryId"]: r["StartTargetId"] for r in store.read("Flow").collect()}
+    assert kept == {f"E{i}": str(i) for i in range(60)} | {"E7": "new", "E99": "x"}
+    everything = store.read("Flow").select("EntryId")
+    assert store.rewrite("Flow", everything, lambda old: old.filter("EntryId = 'E1'")) == 1
+    assert [r["EntryId"] for r in store.read("Flow").collect()] == ["E1"]
