@@ -23,6 +23,7 @@ scored each.  No other column is read.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -54,6 +55,9 @@ _FOLDED = "aaaaaaceeeeiiiinooooouuuuyy"
 WORD = regex.compile(r"\S+")
 LONE = rf"(?<![\p{{L}}\p{{M}}\d])[\p{{L}}{_SIGNS}](?![\p{{L}}\p{{M}}\d])"
 SPACED = regex.compile(rf"(?<!\S){LONE}(?:[ .\-_*]{{1,2}}{LONE}){{2,}}(?![^\s.,;:!?])")
+# What every spaced stretch, and every repetition, holds: cheap to look for first.
+MAYBE_SPACED = re.compile(r"(?<!\S)\S[ .\-_*]{1,2}\S[ .\-_*]{1,2}\S(?![^\W_])")
+REPEATED = re.compile(r"(.)\1\1")
 DISGUISED = regex.compile(rf"\p{{L}}[{_SIGNS}]+\p{{L}}|(?<!\S)[{_SIGNS}]\p{{L}}|\p{{L}}[{_SIGNS.replace("!", "")}](?=\P{{L}}*(?:\s|$))|(\p{{L}})\1\1")
 EDGES = regex.compile(r"^[\P{L}]+|[\P{L}]+$")
 
@@ -192,7 +196,7 @@ class Reader:
             if len(self.known) >= KEPT_WORDS:
                 self.known.clear()
             shown = word
-            if DISGUISED.search(word):
+            if (not word.isalpha() or REPEATED.search(word)) and DISGUISED.search(word):
                 shown = self._remember(word, self.decoder.word)
             plain = EDGES.sub("", shown.lower())
             parts = {plain + "$", *(plain[:k] for k in PREFIXES if len(plain) >= k)} if plain else set()
@@ -204,7 +208,7 @@ class Reader:
         if not text:
             return set()
         words = set(text.split())
-        for match in SPACED.finditer(text):
+        for match in SPACED.finditer(text) if MAYBE_SPACED.search(text) else ():
             words.update(self._remember(match[0], self.decoder.stretch).split())
         return set().union(*map(self._of_word, words))
 
