@@ -7,7 +7,7 @@ each digest is in three cells.  The difference of two tables holds the digests t
 the texts has: peeling takes out what stands alone in a cell until the table is empty.  If that
 fails, both texts are put into tables of LARGER times the cells and peeled again.
 
-The fingerprint is the smallest table, BASE_CELLS cells, as text.  The likeness of two texts is
+The fingerprint is the smallest table, BASE_CELLS cells, in hexadecimal digits.  The likeness of two texts is
 the share of their paragraphs that did not come out of the difference.
 
 Edge cases: null and empty texts have no paragraphs and the all-zero fingerprint; two of them are
@@ -18,7 +18,6 @@ a null doc_id come first; equal ids are in the order of their rows.  Other colum
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -36,7 +35,7 @@ from .words import mixed
 BASE_CELLS, HASHES, PIECE_WORDS, LARGER = 16, 3, 5, 8
 PIECES = regex.compile(rf"(?:\S++(?<![.!?])[^\S\n]++){{0,{PIECE_WORDS - 1}}}+\S++")
 _ODD = np.uint64(0x5851F42D4C957F2D)
-COLUMNS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+COLUMNS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def paragraphs(text: str | None) -> np.ndarray:
@@ -87,14 +86,12 @@ class Table:
             np.bitwise_xor.at(self.keys, at, found.keys)
             np.bitwise_xor.at(self.checks, at, found.checks)
 
-    def text(self) -> str:
-        """The table as text."""
-        raw = self.counts.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes() + self.checks.astype("<u8").tobytes()
-        return base64.b64encode(raw).decode("ascii")
+    def raw(self) -> bytes:
+        """The table as bytes: counts, digests, checks."""
+        return self.counts.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes() + self.checks.astype("<u8").tobytes()
 
     @classmethod
-    def of_text(cls, text: str) -> Table:
-        raw = base64.b64decode(text)
+    def of_raw(cls, raw: bytes) -> Table:
         table, n = cls(None, len(raw) // 20), len(raw) // 20
         table.counts = np.frombuffer(raw, "<i4", n).astype(np.int64)
         table.keys = np.frombuffer(raw, "<u8", n, 4 * n).copy()
@@ -165,15 +162,15 @@ class _Version:
     def __init__(self, text: str | None):
         self.text = text or ""
         self.digests = Digests(paragraphs(self.text))
-        self.fingerprint = Table(self.digests, BASE_CELLS).text()
+        self.fingerprint = Table(self.digests, BASE_CELLS).raw()
 
 
 def compared(one: _Version, following: _Version) -> tuple:
-    """The values of COLUMNS for a text and the next one."""
+    """The values of COLUMNS (as bytes) for a text and the next one."""
     change = _Version(edited(one.text, following.text))
     return (
         len(one.text),
-        hashlib.sha256(change.text.encode("utf-8", "surrogatepass")).hexdigest(),
+        hashlib.sha256(change.text.encode("utf-8", "surrogatepass")).digest(),
         one.fingerprint,
         change.fingerprint,
         likeness(one.digests, change.digests),
@@ -207,7 +204,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def _batch(rows: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
         whole = [(r[0], r[1], None, None, *r[2:]) for r in rows] + [(*e, *[None] * 6) for e in edges]
         columns = list(zip(*whole, strict=True)) or [()] * 10
-        kinds = [pa.int64(), pa.int32(), *[pa.string()] * 2, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+        kinds = [pa.int64(), pa.int32(), *[pa.string()] * 2, pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def join_ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,4 +224,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ends = found.where("edge = 'last'").select("doc_id", "part", "text").join(order, "part")
     ends = ends.join(starts.withColumnRenamed("part", "next"), "next").select("doc_id", "part", "text", "following")
     whole = found.where("edge is null").unionByName(ends.mapInArrow(join_ends, schema))
-    return whole.drop("part", "edge", "text")
+    whole = whole.drop("part", "edge", "text")
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
