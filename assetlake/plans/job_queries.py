@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..schemas import TASKFLOW_TABLES
 from ..sources.scratch import scratch_path
 from ..sources.store import TableStore
 from ..sources.taskflow_xml import parse_taskflows
@@ -72,6 +73,13 @@ def _(spark, sf):
     return store.read("transformation_advanced_properties")
 
 
+@query("job_session_properties", _OF_WAVES.format(CHECKS["session_properties"]))
+def _(spark, sf):
+    store = _with_transformations(spark, sf)
+    jobs.load_properties(store, "session", WAVES, RUN_TS)
+    return store.read("transformation_session_properties")
+
+
 @query("job_naming", _OF_WAVES.format(CHECKS["naming_of_documents"]))
 def _(spark, sf):
     store = _with_transformations(spark, sf)
@@ -159,12 +167,22 @@ def _(spark, sf):
     )
 
 
-@query("job_taskflows", f"SELECT DISTINCT * FROM ({CHECKS['taskflow_dependencies']})")
-def _(spark, sf):
-    store = _store(spark)
-    for _ in range(2):
-        jobs.load_taskflows(store, parse_taskflows(_taskflow_files(spark, sf)), WAVES)
-    return store.read("Dependencies")
+def _taskflow_job(name: str, key: str) -> None:
+    """Loads the task flows twice and reads one of the ten tables back."""
+
+    @query(key, f"SELECT DISTINCT * FROM ({CHECKS['taskflow_' + name.lower()]})")
+    def _(spark, sf):
+        store = _store(spark)
+        for _ in range(2):
+            jobs.load_taskflows(store, parse_taskflows(_taskflow_files(spark, sf)), WAVES)
+        return store.read(name)
+
+
+for _table_name in TASKFLOW_TABLES:
+    _taskflow_job(
+        _table_name,
+        "job_taskflows" if _table_name == "Dependencies" else f"job_taskflows_{_table_name.lower()}",
+    )
 
 
 @query("job_standardization", CHECKS["rename_rules"])

@@ -14,4 +14,4 @@ def spread(df: DataFrame) -> DataFrame:
 
     The rows are a fraction of the documents, so the shuffle is small beside what follows.
     """
-    return df.repartition()
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
