@@ -251,13 +251,16 @@ def _(spark, sf):
 
 @query(
     "lineage",
-    f"""WITH {_AD}, good AS (SELECT * FROM ad WHERE o_orderkey % 3 < 2 AND k % 17 > 1)
+    f"""WITH {_AD}, good AS (SELECT * FROM ad WHERE o_orderkey % 3 < 2 AND k % 17 > 1),
+      names AS (SELECT {CONTENT_NAME} AS content_name, max(concat('M', o_orderkey)) AS content_id
+        FROM orders WHERE o_orderkey % 97 NOT IN (5, 6, 7) AND o_orderkey % 53 > 1 GROUP BY 1)
       SELECT object_id, o_orderstatus AS object_name, concat('/p/', o_custkey) AS object_path,
         adapter_id AS id_data_adapter, o_orderstatus AS adapter_type, id AS id_transf,
-        name AS transformation_name, concat('M', o_orderkey) AS content_id, content_name,
+        name AS transformation_name, content_id, content_name,
         concat('C', o_custkey % 50) AS connection_id, c_name AS connection_name,
         c_mktsegment AS connection_type, "CodOnda", "CodProcess"
-      FROM good LEFT JOIN customer ON c_custkey = o_custkey % 50 AND c_custkey % 10 < 8""",
+      FROM good LEFT JOIN names USING (content_name)
+      LEFT JOIN customer ON c_custkey = o_custkey % 50 AND c_custkey % 10 < 8""",
 )
 def _(spark, sf):
     content = _content(spark, sf)
