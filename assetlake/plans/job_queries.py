@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import TASKFLOW_TABLES
+from ..schemas import TABLES, TASKFLOW_TABLES
 from ..sources.scratch import scratch_path
 from ..sources.store import TableStore
 from ..sources.taskflow_xml import parse_taskflows
@@ -167,22 +170,39 @@ def _(spark, sf):
     )
 
 
-def _taskflow_job(name: str, key: str) -> None:
-    """Loads the task flows twice and reads one of the ten tables back."""
+def _with_taskflows(spark, sf) -> TableStore:
+    store = _store(spark)
+    for _ in range(2):
+        jobs.load_taskflows(store, parse_taskflows(_taskflow_files(spark, sf)), WAVES)
+    return store
 
-    @query(key, f"SELECT DISTINCT * FROM ({CHECKS['taskflow_' + name.lower()]})")
-    def _(spark, sf):
-        store = _store(spark)
-        for _ in range(2):
-            jobs.load_taskflows(store, parse_taskflows(_taskflow_files(spark, sf)), WAVES)
-        return store.read(name)
 
+@query("job_taskflows", f"SELECT DISTINCT * FROM ({CHECKS['taskflow_dependencies']})")
+def _(spark, sf):
+    return _with_taskflows(spark, sf).read("Dependencies")
 
-for _table_name in TASKFLOW_TABLES:
-    _taskflow_job(
-        _table_name,
-        "job_taskflows" if _table_name == "Dependencies" else f"job_taskflows_{_table_name.lower()}",
-    )
+
+# The tables whose columns are texts and flags, each row as one text.
+_PLAIN = [name for name in TASKFLOW_TABLES if name not in ("Item", "Dependencies")]
+
+
+def _row_sql(name: str) -> str:
+    columns = ", ".join(f'CAST("{c}" AS VARCHAR)' for c in TABLES[name].columns)
+    check = CHECKS[f"taskflow_{name.lower()}"]
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {columns}) AS row_text FROM ({check})"
+
+
+@query("job_taskflows_tables", " UNION ALL ".join(map(_row_sql, _PLAIN)))
+def _(spark, sf):
+    store = _with_taskflows(spark, sf)
+    rows = [
+        store.read(name).select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in TABLES[name].columns]).alias("row_text"),
+        )
+        for name in _PLAIN
+    ]
+    return reduce(DataFrame.unionAll, rows)
 
 
 @query("job_standardization", CHECKS["rename_rules"])
