@@ -219,9 +219,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = links.union(stored(confirmed(again, texts.select("node", "text"), width, percent), "links"))
     last = components(links, "components")
     rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits")
-    least = rows.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")  # rows without an id come last
+    least = rows.where("component is not null").groupBy("component").agg(F.min(place).alias("least"))
     alone = F.col("component").isNull()
-    is_least = F.struct("doc_id", "text_key").eqNullSafe(F.col("least"))
+    is_least = place.eqNullSafe(F.col("least"))
     return rows.join(least, "component", "left").select(
         "doc_id",
         "text_key",

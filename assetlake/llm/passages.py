@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from assetlake.sources.scratch import stored
 
 from .components import components
-from .fast_sketch import band_keys, sketches
+from .fast_sketch import alike, band_keys, bitmap, sketches
 from .words import WordHashes, blocks, mixed, set_key, shingle_set, word_hashes
 
 BANDS, ROWS = 12, 3
@@ -93,7 +93,7 @@ def paragraphs(docs: DataFrame, width: int, min_words: int) -> DataFrame:
 
 
 def _line_texts(docs: DataFrame, wanted: DataFrame, width: int, min_words: int) -> DataFrame:
-    """node and shingles of one place of each wanted line (node, doc_id, start)."""
+    """node, shingles and bitmap of one place of each wanted line (node, doc_id, start)."""
     texts = docs.select("doc_id", "text").join(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "node")).alias("lines")), "doc_id")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,9 +109,12 @@ def _line_texts(docs: DataFrame, wanted: DataFrame, width: int, min_words: int)
                         if set_key(shingles) == places[at]:
                             nodes.append(places[at]), found.append(shingles.view(np.int64))
                     at += len(hashes)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+            bits = [bitmap(f.view(np.uint64)) for f in found]
+            columns = [pa.array(nodes, pa.int64()), *[pa.array(x, pa.list_(pa.int64())) for x in (found, bits)]]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "bits"])
 
-    return texts.select("text", "lines").mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"])
+    found = texts.select("text", "lines").mapInArrow(sets, "node long, shingles array<long>, bits array<long>")
+    return found.dropDuplicates(["node"])
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +176,10 @@ def _clustered(places: DataFrame, kind: str) -> DataFrame:
 
 
 def _prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of ``rest`` (node, shingles, component) that may be alike."""
+    """Pairs (a, b) of different components of ``rest`` (node, shingles, bits, component) that may be alike.
+
+    The bitmaps rule unlike pairs out inside the join, without loss, so few are handed on.
+    """
     n = F.size("shingles")
     order = rest.select("node", "component", n.alias("size"), F.explode("shingles").alias("shingle"), (n - F.ceil(n * percent / 100) + 1).alias("need"))
     counts = order.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
@@ -182,10 +188,10 @@ def _prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
     first = ranked.agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "shingle", "x", "y"))), F.lit(1), F.first("need").cast("int")).alias("p"))
     first = first.select("node", "component", "size", F.explode("p").alias("p")).where("p.x <> p.y")
     first = stored(first.select("node", "component", "size", F.col("p.shingle").alias("shingle")), "prefixes")
-    one, two = (first.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size")]) for x in "ab")
-    close = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-    close &= (100 * F.col("size_a") >= percent * F.col("size_b")) & (100 * F.col("size_b") >= percent * F.col("size_a"))
-    pairs = one.join(two, "shingle").where(close)
+    first = first.join(rest.select("node", "bits"), "node")
+    one, two = (first.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size", "bits")]) for x in "ab")
+    close = (one["shingle"] == two["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = one.join(two, close & alike("size_a", "size_b", "bits_a", "bits_b", percent))
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
