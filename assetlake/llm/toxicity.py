@@ -8,15 +8,20 @@ as it is.
 
 * The language model counts character 4-grams (26 letters with accents folded, a border, other
   signs) over every text of the corpus; it has 28**4 numbers at most, whatever the corpus.
-* The score is a logistic regression over hashed prefixes and whole words of the restored text.
-  It is fitted on labelled rows, at most ``max_rows`` of them, chosen by a hash of the text; that
-  is the one bounded sample here.
-* Both models are broadcast: 28**4 and 2**16 numbers.
+* The score is a logistic regression over prefixes and whole words of the restored text, told
+  apart by 64-bit hashes.  It is fitted on labelled rows, at most ``max_rows`` of them, chosen by a
+  hash of the text; that is the one bounded sample here.  A feature met in fewer than MIN_DOCS of
+  them has no weight, since nothing can be learnt about it; no other feature takes its place.
+* A text is scored by windows of WINDOW words, each starting half a window after the one before,
+  and has the score of its worst window; so a long text is not toxic by its length alone.  What is
+  learnt from are the windows of the clean rows, and the toxic rows as a whole, as nobody says which
+  of their windows are toxic.
+* Both models are broadcast: 28**4 numbers, and the weights other than zero.
 
 Edge cases: null, empty and blank texts get the score of a text without words; without labelled
 rows of both kinds every score is the share of toxic rows (0 if there are none); null labels and
 labels of unknown documents are ignored; several labels of one document count as toxic if any
-is; texts are scored whole; equal texts get equal scores; rows repeated under one doc_id are
+is; every window of a text is scored; equal texts get equal scores; rows repeated under one doc_id are
 scored each.  No other column is read.
 """
 
@@ -24,21 +29,24 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from assetlake.sources.scratch import stored
+
 from .words import blocks
 
 LETTERS = 28  # a-z, border, other
 BORDER, OTHER = 26, 27
-FEATURES = 1 << 16
+MIN_DOCS = 3
+WINDOW = 256
 PREFIXES = (3, 4, 5, 7)
 MAX_ROWS = 20_000
 KEPT_WORDS = 1 << 18
@@ -169,8 +177,9 @@ class Decoder:
 class Reader:
     """Turns texts into features; remembers words, KEPT_WORDS at most."""
 
-    def __init__(self, costs: np.ndarray):
+    def __init__(self, costs: np.ndarray, weights: dict[int, float] | None = None):
         self.decoder = Decoder(costs)
+        self.weights = weights  # features without a weight are not kept
         self.known: dict[str, tuple[int, ...]] = {}
         self.read: dict[str, str] = {}
 
@@ -200,21 +209,50 @@ class Reader:
                 shown = self._remember(word, self.decoder.word)
             plain = EDGES.sub("", shown.lower())
             parts = {plain + "$", *(plain[:k] for k in PREFIXES if len(plain) >= k)} if plain else set()
-            found = self.known[word] = tuple({zlib.crc32(p.encode("utf-8", "surrogatepass")) % FEATURES for p in parts})
+            keys = {feature_key(p) for p in parts}
+            found = self.known[word] = tuple(keys if self.weights is None else (k for k in keys if k in self.weights))
         return found
 
+    def places(self, text: str | None) -> tuple[list[tuple[int, tuple[int, ...]]], int]:
+        """The features of each word that has any, with its place, and the number of words.
+
+        Words beside restored stretches count as they stand, too.
+        """
+        words = (text or "").split()
+        telling = {w: f for w in set(words) if (f := self._of_word(w))}
+        found = [(i, telling[w]) for i, w in enumerate(words) if w in telling]
+        at = before = 0
+        for match in SPACED.finditer(text) if words and MAYBE_SPACED.search(text) else ():
+            before, at = before + len(text[at : match.start()].split()), match.start()
+            found += [(before, f) for f in map(self._of_word, self._remember(match[0], self.decoder.stretch).split()) if f]
+        return found, len(words)
+
+    def windows(self, text: str | None, step: int) -> list[set[int]]:
+        """The features of each window of the text; one window begins ``step`` words after the other."""
+        found, n = self.places(text)
+        if n <= WINDOW:
+            return [set().union(*(f for _, f in found))]
+        sets = [set() for _ in range(1 + -(-(n - WINDOW) // step))]
+        for i, features in found:
+            for k in range(max(0, (i - WINDOW) // step + 1), min(i // step + 1, len(sets))):
+                sets[k].update(features)
+        return sets
+
     def features(self, text: str | None) -> set[int]:
-        """Features of the restored text; words beside restored stretches count as they stand, too."""
-        if not text:
-            return set()
-        words = set(text.split())
-        for match in SPACED.finditer(text) if MAYBE_SPACED.search(text) else ():
-            words.update(self._remember(match[0], self.decoder.stretch).split())
-        return set().union(*map(self._of_word, words))
+        """The features of the whole text."""
+        return set().union(*(f for _, f in self.places(text)[0]))
+
+    def score(self, text: str | None) -> float:
+        """The sum of weights of the worst window."""
+        return max(math.fsum(self.weights[k] for k in w) for w in self.windows(text, WINDOW // 2))
+
 
+def feature_key(part: str) -> int:
+    return xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass")) - (1 << 63)
 
-def learn(docs: DataFrame, labels: DataFrame, costs: np.ndarray, usable: Column, max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights of the features and, last, the intercept.
+
+def learn(docs: DataFrame, labels: DataFrame, costs: np.ndarray, usable: Column, max_rows: int = MAX_ROWS) -> tuple[dict[int, float], float]:
+    """Weights of the features other than zero, and the intercept.
 
     ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); ``usable`` says from the doc_id which labels may be used.
     """
@@ -226,57 +264,77 @@ def learn(docs: DataFrame, labels: DataFrame, costs: np.ndarray, usable: Column,
     known = docs.select("doc_id", F.xxhash64("text").alias("key")).join(marks, "doc_id").select("doc_id", "label", "key")
     chosen = known.orderBy("key", "doc_id").limit(max_rows).select("doc_id", "label")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows rows at most
-    shared = docs.sparkSession.sparkContext.broadcast(costs)
-
-    def of_text(text: str | None) -> SparseVector:
-        at = sorted(reader(shared).features(text))
-        return SparseVector(FEATURES, at, [1.0] * len(at))
-
-    vector = F.udf(of_text, VectorUDT(), useArrow=False)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(costs)
 
-    cached = rows.select("label", vector("text").alias("features")).persist()
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            reads, found, fresh, owners, shares = reader(shared), [], [], [], []
+            for i, (text, label) in enumerate(zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)):
+                sets = [reads.features(text)] if label else reads.windows(text, WINDOW)
+                seen: set[int] = set()
+                for mine in sets:
+                    new = mine - seen
+                    seen |= new
+                    fresh.append(len(new)), found.append([*new, *(mine - new)])
+                owners += [i] * len(sets)
+                shares += [1 / len(sets)] * len(sets)
+            of = batch.select(["doc_id", "label"]).take(pa.array(owners, pa.int64()))
+            columns = [pa.array(shares, pa.float64()), pa.array(fresh, pa.int32()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*of.columns, *columns], ["doc_id", "label", "share", "fresh", "features"])
+
+    # ``fresh``: so many of the features, the first ones, are in no window before
+    rows = stored(rows.mapInArrow(read, "doc_id long, label double, share double, fresh int, features array<long>"), "labelled")
+    n, toxic = rows.groupBy("doc_id").agg(F.max("label").alias("label")).agg(F.count("label"), F.sum("label")).first()
+    if not n or not 0 < toxic < n:
+        share = (toxic or 0.0) / max(n, 1)
+        return {}, math.log(max(share, 1e-9) / max(1 - share, 1e-9))
+    counts = rows.select(F.explode(F.slice("features", F.lit(1), F.col("fresh"))).alias("feature")).groupBy("feature").count()
+    usual = np.sort(counts.where(F.col("count") >= MIN_DOCS).select("feature").toArrow()["feature"].to_numpy())
+    places = context.broadcast(usual)
+
+    def vector(features: list[int]) -> SparseVector:
+        mine = np.sort(np.array(features, np.int64))
+        at = np.searchsorted(places.value, mine)
+        at = at[places.value[np.minimum(at, len(places.value) - 1)] == mine] if len(places.value) else at[:0]
+        return SparseVector(len(places.value), at, np.ones(len(at)))
+
+    made = F.udf(vector, VectorUDT(), useArrow=False)
+    # sparse weights; the windows of a row count as one together, and toxic rows twice: they are few
+    train = rows.select("label", ((F.col("label") + 1.0) * F.col("share")).alias("weight"), made("features").alias("features")).persist()
     try:
-        train = cached
-        n, toxic = train.agg(F.count("label"), F.sum("label")).first()
-        weights = np.zeros(FEATURES + 1)
-        if not n or not 0 < toxic < n:
-            share = (toxic or 0.0) / max(n, 1)
-            weights[-1] = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
-            return weights
-        # sparse weights, and toxic rows count twice: they are few
-        train = train.withColumn("weight", F.col("label") + 1.0)
         model = LogisticRegression(
             maxIter=60, regParam=0.0003, elasticNetParam=1.0, standardization=False, weightCol="weight"
         ).fit(train)
-        weights[:-1], weights[-1] = model.coefficients.toArray(), model.intercept
-        return weights
+        weights = model.coefficients.toArray()
+        at = np.nonzero(weights)[0]
+        return dict(zip(usual[at].tolist(), weights[at].tolist(), strict=True)), float(model.intercept)
     finally:
-        cached.unpersist()
+        train.unpersist()
 
 
-_READERS: dict[int, Reader] = {}
+_READERS: dict[tuple, Reader] = {}
 
 
-def reader(shared) -> Reader:
-    """One reader per worker process and language model."""
-    key = shared._jbroadcast_id if hasattr(shared, "_jbroadcast_id") else id(shared.value)
+def reader(shared, linear=None) -> Reader:
+    """One reader per worker process and models."""
+    key = tuple(b._jbroadcast_id if hasattr(b, "_jbroadcast_id") else id(b.value) for b in (shared, linear) if b is not None)
     if key not in _READERS:
         _READERS.clear()
-        _READERS[key] = Reader(shared.value)
+        _READERS[key] = Reader(shared.value, linear.value[0] if linear is not None else None)
     return _READERS[key]
 
 
-def scored(docs: DataFrame, costs: np.ndarray, weights: np.ndarray) -> DataFrame:
+def scored(docs: DataFrame, costs: np.ndarray, weights: tuple[dict[int, float], float]) -> DataFrame:
     """``docs`` with ``_toxicity`` (0 to 1, in place of a column of that name) beside all its columns."""
     docs = docs.drop("_toxicity")
     context = docs.sparkSession.sparkContext
     model, linear = context.broadcast(costs), context.broadcast(weights)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reads, known = reader(model), linear.value
-        values = known[:-1].tolist()
+        reads, intercept = reader(model, linear), linear.value[1]
         for batch in blocks(batches, "text"):
-            sums = [known[-1] + math.fsum(values[i] for i in reads.features(t)) for t in batch.column("text").to_pylist()]
+            sums = [intercept + reads.score(t) for t in batch.column("text").to_pylist()]
             chances = 1 / (1 + np.exp(-np.clip(sums, -60, 60)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chances, pa.float64())], [*batch.schema.names, "_toxicity"])
 

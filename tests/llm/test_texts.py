@@ -53,6 +53,16 @@ def test_restoring(toxic_world):
     assert reader.restored(plain) == plain
 
 
+def test_joined_clean_texts_stay_clean(spark, toxic_world):
+    docs, marks, costs = toxic_world
+    rng = random.Random(3)
+    clean = [r["text"] for r in docs.where("doc_id < 600 and doc_id % 4 <> 0").collect()]
+    rare = " ".join("".join(rng.choice("bcdfghaeou") for _ in range(rng.randrange(4, 11))) for _ in range(40_000))
+    long = [(0, " ".join(clean)), (1, rare), (2, " ".join(clean) + " idiot " + " ".join(clean)), (3, " ".join(clean) + " l o s e r")]
+    scores = toxicity.scored(spark.createDataFrame(long, DOC), costs, toxicity.learn(docs, marks, costs, F.lit(True)))
+    assert {r["doc_id"]: r["_toxicity"] >= 0.5 for r in scores.collect()} == {0: False, 1: False, 2: True, 3: True}
+
+
 def test_labels_of_one_kind_or_none(spark, toxic_world):
     docs = toxic_world[0].limit(5)
     none = toxicity.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
