@@ -2,8 +2,10 @@
 
 Lines that begin with ``>`` are quoted, once per sign; lines of one level that follow each other
 are a passage.  A passage is normalised (signs and blanks at the ends gone, blanks one space, lower
-case) and hashed, and joined to the message of the same conversation that first said it in its
-own words: as a whole, or as one of its lines.  A message answers the latest message that it quotes
+case) and hashed as a whole, by its lines, its sentences and its runs of SHORT and LONG words; so
+are the own words of the messages of its conversation.  The first message to say each of these is a
+candidate; the passage is linked to the candidate that shares the most of them, to the earliest of
+equals, and to none that shares less than half.  A message answers the latest message that it quotes
 at level one, or else at the lowest level that is found; without any, the message before it.
 Messages that answer another one than the message before them open a new thread.
 
@@ -11,7 +13,8 @@ Everything is built-in expressions.  A frequent passage meets one row, its first
 key is multiplied out; the order within conversations comes from ranges of the whole table, so
 a conversation with a third of all messages is not collected in one task.
 
-Edge cases: a null text is empty; a message of quotations only has an empty text and stays; an
+Edge cases: a null text is empty; a quoted single word links only to a line, sentence or message
+that is this word; a message of quotations only has an empty text and stays; an
 attribution line (ending in ``wrote:`` or its like) directly above a quotation goes with it; a
 passage that only later messages say links to nothing; messages repeated under one turn are ordered
 by role and text; a null conv_id is one conversation, a null turn comes first; an empty table gives
@@ -32,6 +35,7 @@ SIGNS = r"^[ \t]*((?:>[ \t]*)+)"
 # How mail programs end the line above a quotation.
 ATTRIBUTION = r"(wrote|writes|said|schrieb|a écrit|escribió):[ \t]*$"
 BLOCK = 100_000
+SHORT, LONG = 2, 8  # words
 
 
 def _normal(text: Column) -> Column:
@@ -43,7 +47,7 @@ def _level(line: Column) -> Column:
 
 
 def split_quotes(messages: DataFrame) -> DataFrame:
-    """``messages`` with ``own`` (the lines that are not quoted) and ``quotes`` (level, key of each passage)."""
+    """``messages`` with ``own`` (the lines that are not quoted) and ``quotes`` (level, lines of each passage)."""
     lines = messages.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\r?\n"))
     lines = lines.withColumn("_levels", F.transform("_lines", _level))
     n = F.size("_lines")
@@ -56,14 +60,49 @@ def split_quotes(messages: DataFrame) -> DataFrame:
     own = F.filter(places, lambda i: (at(i) == 0) & ~above(i))
     bare = lambda i: F.regexp_replace(line(i), SIGNS, "")
     passage = lambda s, e: F.struct(
-        at(s).alias("level"), _normal(F.array_join(F.transform(F.sequence(s, e), bare), " ")).alias("said")
+        at(s).alias("level"), F.filter(F.transform(F.sequence(s, e), lambda i: _normal(bare(i))), lambda t: t != "").alias("lines")
     )
     lines = lines.withColumns({"own": F.transform(own, line), "_starts": starts, "_ends": ends})
-    quotes = F.filter(F.zip_with("_starts", "_ends", passage), lambda q: q["said"] != "")
-    quotes = F.transform(quotes, lambda q: F.struct(q["level"].alias("level"), F.xxhash64(q["said"]).alias("key")))
+    quotes = F.filter(F.zip_with("_starts", "_ends", passage), lambda q: F.size(q["lines"]) > 0)
     return lines.withColumn("quotes", quotes).drop("_lines", "_levels", "_starts", "_ends")
 
 
+def _keys(lines: Column) -> Column:
+    """Hashes of the whole text, its lines, its sentences and its runs of words."""
+
+    def of_text(said: Column) -> Column:
+        def runs(length: int) -> Column:
+            words = F.array(F.split(said, " "))  # bound once, not per place
+            return F.flatten(F.transform(words, lambda w: F.transform(
+                F.sequence(F.lit(1), F.greatest(F.size(w) - (length - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, length), " ")
+            )))
+
+        return F.concat(F.array(said), F.split(said, r"(?<=[.!?])\s+"), runs(SHORT), runs(LONG))
+
+    whole = F.array(_normal(F.array_join(lines, " ")))
+    pieces = F.concat(F.flatten(F.transform(whole, of_text)), F.transform(lines, _normal))
+    return F.array_distinct(F.transform(F.filter(pieces, lambda t: t != ""), lambda t: F.xxhash64(t)))
+
+
+def _links(rows: DataFrame) -> DataFrame:
+    """_rank and source (rank) of the messages whose quotations are found."""
+    conv = F.xxhash64(F.struct("conv_id")).alias("conv")
+    asked = rows.where(F.size("quotes") > 0).select("_rank", conv, F.posexplode("quotes").alias("place", "q"))
+    asked = stored(asked.select("_rank", "conv", "place", "q.level", _keys(F.col("q.lines")).alias("keys")), "asked")
+    sayings = rows.select(F.col("_rank").alias("of"), conv, "text").join(asked.select("conv").distinct(), "conv", "left_semi")
+    sayings = stored(sayings.select("of", "conv", _keys(F.split("text", "\n")).alias("said")), "sayings")
+    wanted = asked.select("_rank", "place", "conv", F.explode("keys").alias("key")).select("_rank", "place", F.xxhash64("conv", "key").alias("key"))
+    first = sayings.select("of", "conv", F.explode("said").alias("key")).select("of", F.xxhash64("conv", "key").alias("key"))
+    first = first.join(wanted.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("of").alias("of"))
+    candidates = wanted.join(first, "key").where("of < _rank").select("_rank", "place", "of").distinct()
+    shared = F.size(F.array_intersect("keys", "said"))
+    met = candidates.join(asked, ["_rank", "place"]).join(sayings.select("of", "said"), "of")
+    met = met.select("_rank", "place", "level", "of", shared.alias("shared"), F.size("keys").alias("all")).where("2 * shared >= all")
+    best = met.groupBy("_rank", "place", "level").agg(F.max(F.struct("shared", (-F.col("of")).alias("back"))).alias("best"))
+    best = best.groupBy("_rank").agg(F.min(F.struct("level", F.col("best.back").alias("back"))).alias("best"))
+    return best.select("_rank", (-F.col("best.back")).alias("source"))
+
+
 def reply_order(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text (without quotations), position, reply_to, linked, quotes and thread of every message.
 
@@ -73,18 +112,8 @@ def reply_order(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", "turn", "role", "text").withColumn("text_key", F.xxhash64("role", "text"))
     rows = split_quotes(ranked(rows, ["conv_id", "turn", "text_key"], name="messages"))
     rows = rows.withColumn("text", F.trim(F.array_join("own", "\n")))
-    said = F.array_distinct(F.transform(F.concat(F.array("text"), F.col("own")), lambda t: F.xxhash64(_normal(t))))
-    rows = stored(rows.select("_rank", "conv_id", "turn", "role", "text", "quotes", said.alias("said")), "split")
-    conv = F.struct("conv_id").alias("conv")
-    asked = rows.where(F.size("quotes") > 0).select("_rank", conv, F.explode("quotes").alias("q")).select("_rank", "conv", "q.*")
-    asked = asked.withColumn("key", F.xxhash64("conv", "key")).drop("conv")
-    keys = asked.select("key").distinct()
-    sayings = rows.select(F.col("_rank").alias("of"), conv, F.explode("said").alias("key"))
-    sayings = sayings.select("of", F.xxhash64("conv", "key").alias("key")).join(keys, "key", "left_semi")
-    first = sayings.groupBy("key").agg(F.min("of").alias("of"))
-    links = asked.join(first, "key").where("of < _rank")
-    links = links.groupBy("_rank").agg(F.min(F.struct("level", (-F.col("of")).alias("back"))).alias("best"))
-    links = links.select("_rank", (-F.col("best.back")).alias("source"))
+    rows = stored(rows.select("_rank", "conv_id", "turn", "role", "text", "quotes"), "split")
+    links = _links(rows)
     starts = rows.groupBy(F.struct("conv_id").alias("conv")).agg(F.min("_rank").alias("start"))
     named = rows.select("_rank", F.struct("conv_id").alias("conv"))
     places = named.join(starts, "conv").join(links, "_rank", "left").select(

@@ -124,6 +124,19 @@ def test_quotations(spark):
     assert quotations.reply_order(frame.limit(0)).count() == 0
 
 
+def test_parts_of_messages_are_linked(spark):
+    first = "alpha one two three\nbeta four five six\ngamma seven eight nine. Delta ten eleven twelve"
+    asked = [
+        "> alpha one two three\n> beta four five six\nlines", "> seven eight\npart", "> four five six gamma\n> seven eight\nwrapped",
+        "> Delta ten eleven twelve\nsentence", "> nothing of this was ever said\nunknown",
+    ]
+    rows = [(1, 0, "a", first), (1, 1, "b", "beta is nice"), *[(1, i + 2, "a", t) for i, t in enumerate(asked)]]
+    got = quotations.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert rows_of(got.where("turn > 1"), "turn", "reply_to", "linked") == [
+        (2, 0, True), (3, 0, True), (4, 0, True), (5, 0, True), (6, 5, False),
+    ]
+
+
 # --- pages
 PAGE = (
     "<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href=x>menu</a></ul></nav>"
