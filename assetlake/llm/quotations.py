@@ -9,6 +9,11 @@ equals, and to none that shares less than half.  A message answers the latest me
 at level one, or else at the lowest level that is found; without any, the message before it.
 Messages that answer another one than the message before them open a new thread.
 
+``position`` is the place by turn, ``reply_place`` the place in the order of replies: each message
+is followed by its answers, the earliest first, each with all that answers it.  That order is a
+list through the tree of replies, ranked by pointer doubling: log2 of the longest conversation
+rounds of joins, only over conversations in which an answer leaves the order of turns.
+
 Everything is built-in expressions.  A frequent passage meets one row, its first message, so no
 key is multiplied out; the order within conversations comes from ranges of the whole table, so
 a conversation with a third of all messages is not collected in one task.
@@ -103,8 +108,29 @@ def _links(rows: DataFrame) -> DataFrame:
     return best.select("_rank", (-F.col("best.back")).alias("source"))
 
 
+def _by_replies(tree: DataFrame) -> DataFrame:
+    """_rank and reply_place of the messages of ``tree`` (_rank, parent, size of the conversation)."""
+    born = tree.where("parent is not null").select(F.col("_rank").alias("child"), "parent")
+    born = stored(ranked(born, ["parent", "child"], name="siblings"), "births")
+    later = born.select((F.col("_rank") - 1).alias("_rank"), F.col("child").alias("next"), F.col("parent").alias("_of"))
+    after = born.join(later, "_rank").where("parent = _of").select(F.col("child").alias("_rank"), "next")
+    eldest = born.groupBy(F.col("parent").alias("_rank")).agg(F.min("child").alias("eldest"))
+    nodes = tree.join(after, "_rank", "left").join(eldest, "_rank", "left")
+    # a message is entered at 2 * rank and left at 2 * rank + 1
+    rank = F.col("_rank")
+    enter = F.struct((2 * rank).alias("at"), F.coalesce(2 * F.col("eldest"), 2 * rank + 1).alias("next"), F.lit(1).cast("long").alias("left"))
+    leave = F.struct((2 * rank + 1).alias("at"), F.coalesce(2 * F.col("next"), 2 * F.col("parent") + 1).alias("next"), F.lit(0).cast("long").alias("left"))
+    tour = stored(nodes.select(F.inline(F.array(enter, leave))), "tour")
+    while not tour.where("next is not null").isEmpty():
+        ahead = tour.select(F.col("at").alias("next"), F.col("next").alias("_next"), F.col("left").alias("_left"))
+        moved = tour.where("next is not null").join(ahead, "next").select("at", F.col("_next").alias("next"), (F.col("left") + F.col("_left")).alias("left"))
+        tour = stored(tour.where("next is null").union(moved), "tour")
+    entered = tour.where("at % 2 = 0").select((F.col("at") / 2).cast("long").alias("_rank"), "left")
+    return tree.join(entered, "_rank").select("_rank", (F.col("size") - F.col("left")).alias("reply_place"))
+
+
 def reply_order(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text (without quotations), position, reply_to, linked, quotes and thread of every message.
+    """conv_id, turn, role, text (without quotations), position, reply_place, reply_to, linked, quotes and thread of every message.
 
     ``reply_to`` is the turn of the message that is answered, ``linked`` whether a quotation says so,
     ``thread`` the turn of the first message of the thread.
@@ -114,17 +140,21 @@ def reply_order(messages: DataFrame) -> DataFrame:
     rows = rows.withColumn("text", F.trim(F.array_join("own", "\n")))
     rows = stored(rows.select("_rank", "conv_id", "turn", "role", "text", "quotes"), "split")
     links = _links(rows)
-    starts = rows.groupBy(F.struct("conv_id").alias("conv")).agg(F.min("_rank").alias("start"))
+    starts = rows.groupBy(F.struct("conv_id").alias("conv")).agg(F.min("_rank").alias("start"), F.count(F.lit(1)).alias("size"))
     named = rows.select("_rank", F.struct("conv_id").alias("conv"))
     places = named.join(starts, "conv").join(links, "_rank", "left").select(
         "_rank",
         (F.col("_rank") - F.col("start")).alias("position"),
         F.when(F.col("_rank") > F.col("start"), F.coalesce("source", F.col("_rank") - 1)).alias("parent"),
         F.col("source").isNotNull().alias("linked"),
+        "start",
+        "size",
     )
     # a thread is headed by the latest message up to here that doesn't answer the one before it
     head = F.when(F.col("parent").isNull() | (F.col("parent") != F.col("_rank") - 1), F.col("_rank"))
     places = stored(places.withColumns({"head": head, "block": F.floor(F.col("_rank") / BLOCK)}), "places")
+    branched = places.where("parent <> _rank - 1").select("start").distinct()
+    by_replies = _by_replies(stored(places.join(branched, "start", "left_semi").select("_rank", "parent", "size"), "branched"))
     carried = places.groupBy("block").agg(F.max("head").alias("head"))  # a row per BLOCK messages
     carried = carried.select("block", F.max("head").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
     inside = Window.partitionBy("block").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
@@ -133,6 +163,7 @@ def reply_order(messages: DataFrame) -> DataFrame:
     parents = turns.select(F.col("at").alias("parent"), F.col("turn").alias("reply_to"))
     heads = turns.select(F.col("at").alias("thread"), F.col("turn").alias("thread_turn"))
     whole = rows.select("_rank", "conv_id", "turn", "role", "text", F.size("quotes").alias("quotes")).join(places, "_rank")
+    whole = whole.join(by_replies, "_rank", "left").withColumn("reply_place", F.coalesce("reply_place", "position"))
     return whole.join(parents, "parent", "left").join(heads, "thread").select(
-        "conv_id", "turn", "role", "text", "position", "reply_to", "linked", "quotes", F.col("thread_turn").alias("thread")
+        "conv_id", "turn", "role", "text", "position", "reply_place", "reply_to", "linked", "quotes", F.col("thread_turn").alias("thread")
     )

@@ -137,6 +137,15 @@ def test_parts_of_messages_are_linked(spark):
     ]
 
 
+def test_messages_follow_what_they_answer(spark):
+    texts = ["zero root", "one here", "two here", "> zero root\nthree", "four", "> one here\nfive", "> zero root\nsix"]
+    rows = [(c, i, "a", t) for c, ts in ((1, texts), (2, ["x", "y", "z"])) for i, t in enumerate(ts)]
+    got = quotations.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    order = {(r["conv_id"], r["turn"]): r["reply_place"] for r in got.collect()}
+    assert sorted(range(7), key=lambda i: order[1, i]) == [0, 1, 2, 5, 3, 4, 6] and sorted(order[1, i] for i in range(7)) == [*range(7)]
+    assert [order[2, i] for i in range(3)] == [0, 1, 2]
+
+
 # --- pages
 PAGE = (
     "<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href=x>menu</a></ul></nav>"
