@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    checks,
     fair_mix,
     fast_sketch,
+    impact_search,
     invertible_sketch,
     kd_shards,
     passages,
     prefix_tokens,
+    quality,
     quotations,
+    repair,
     spaced_seeds,
     style_tree,
     toxicity,
@@ -95,6 +99,26 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.repair_report(conversations, repair.damaged(conversations))
+
+
+def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = impact_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+    return ranked.select("item_id", "rank", "doc_id", "score")
+
+
+def op13_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        F.col("_quality").alias("score"),
+        (F.col("_quality") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_noisy_channel_toxicity": op1_noisy_channel_toxicity,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -106,6 +130,12 @@ QUERIES: dict[str, Query] = {
     "op8_invertible_fingerprints": op8_invertible_fingerprints,
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_best_position_search": op12_best_position_search,
+    "op13_quadratic_quality": op13_quadratic_quality,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op11_conversation_repair": checks.CONVERSATION_REPAIR,
+    "op12_best_position_search": checks.RANKED_SEARCH,
+}
