@@ -16,7 +16,7 @@ from ..schemas import TABLES, TASKFLOW_TABLES
 from ..sources import archives, sheets
 from ..sources.documents import scan_package_csv
 from ..sources.scratch import scratch_path, stored
-from ..sources.taskflow_xml import NAMESPACES, parse_taskflows
+from ..sources.taskflow_xml import NAMESPACES, parse_taskflows, scan_taskflow_xml
 from .derived import package_rows, wave_sql, zipped
 from .registry import query
 from .tables import spread, table
@@ -70,8 +70,8 @@ def _(spark, sf):
     return archives.unzip_members(packages, *archives.TASKS).drop("source_path")
 
 
-def _taskflow_files(spark, sf) -> DataFrame:
-    """One task-flow file per customer; its second item repeats the entry with other values."""
+def _taskflow_texts(spark, sf) -> DataFrame:
+    """Head, items and tail of a task-flow file per customer; its second item has an entry of its own."""
     n = NAMESPACES
 
     def one(name: str, value: str) -> str:
@@ -112,14 +112,33 @@ def _taskflow_files(spark, sf) -> DataFrame:
         f"""'<?xml version="1.0" encoding="UTF-8"?><types1:getItems xmlns:types1="{n["types1"]}" """
         f"""xmlns:ns0="{n["ns0"]}" xmlns:ns2="{n["ns2"]}">'"""
     )
-    content = f"""concat({head}, {one("CurrentServerDateTime", "'2024-05-01T10:20:30Z'")},
-        {first}, {second}, IF(c_custkey % 10 = 3, '<open>', ''), '</types1:getItems>')"""
+    server_time = one("CurrentServerDateTime", "'2024-05-01T10:20:30Z'")
     return spread(table(spark, sf, "customer")).select(
+        "c_custkey",
+        F.expr(f"concat({head}, {server_time})").alias("head"),
+        F.expr(f"concat({first}, {second})").alias("items"),
+        F.expr("concat(IF(c_custkey % 10 = 3, '<open>', ''), '</types1:getItems>')").alias("tail"),
+    )
+
+
+def _taskflow_files(spark, sf) -> DataFrame:
+    """One task-flow file per customer; every tenth is broken."""
+    return _taskflow_texts(spark, sf).select(
         F.expr("concat('flows/', c_custkey, '.xml')").alias("path"),
-        F.expr(content).cast("binary").alias("content"),
+        F.concat("head", "items", "tail").cast("binary").alias("content"),
     )
 
 
+def _taskflow_folder(spark, sf) -> str:
+    """A folder of task-flow files with the items of many customers each; the items of a broken file come in it."""
+    texts = _taskflow_texts(spark, sf).withColumn("file", F.expr("concat(c_custkey % 10, '-', c_custkey div 5000)"))
+    items = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "items"))), lambda x: x["items"]), "\n")
+    files = texts.groupBy("file").agg(F.concat(F.first("head"), items, F.first("tail")).alias("text"))
+    path = scratch_path(spark, "flows")
+    files.write.partitionBy("file").text(path)
+    return path
+
+
 _GOOD = "FROM customer WHERE c_custkey % 10 <> 3"
 _FLOWS = f"{_GOOD} AND c_custkey % 4 <> 0"
 _E = """concat('E', c_custkey) AS "EntryId" """
@@ -170,7 +189,7 @@ _TASKFLOW_SQL = {
 def _taskflow_query(name: str) -> None:
     @query(f"taskflow_{name.lower()}", _TASKFLOW_SQL[name])
     def _(spark, sf):
-        items = parse_taskflows(_taskflow_files(spark, sf))
+        items = scan_taskflow_xml(spark, _taskflow_folder(spark, sf), "*.txt")
         return shred_taskflows(items)[name].select(*TABLES[name].columns)
 
 
@@ -217,28 +236,29 @@ def _workbook(rows: list[list[str | None]]) -> bytes:
     return buffer.getvalue()
 
 
+def workbooks(books: DataFrame, header: list[str], key: str) -> DataFrame:
+    """``path, content`` of a workbook for each row: the header and ``rows``, an array of text cells each."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_workbook([header, *rows]) for rows in batch.column("rows").to_pylist()]
+            paths = [f"sheets/{k}.xlsx" for k in batch.column(key).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(made, pa.binary())], names=["path", "content"])
+
+    return books.select(key, "rows").mapInArrow(pack, "path string, content binary")
+
+
 @query(
     "sheet_scan",
     """SELECT CAST(p_partkey AS VARCHAR) AS "Cod. Part", p_name AS "Nome (part)",
       CASE WHEN p_size % 2 = 0 THEN p_type END AS "Tipo" FROM part""",
 )
 def _(spark, sf):
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        header = ["Cod. Part", "Nome (part)", "Tipo"]
-        for batch in batches:
-            books = [
-                _workbook([header, [str(r["p_partkey"]), r["p_name"], r["kind"]]])
-                for r in batch.to_pylist()
-            ]
-            paths = [f"sheets/{k}.xlsx" for k in batch.column("p_partkey").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(paths), pa.array(books, pa.binary())], names=["path", "content"]
-            )
-
     parts = table(spark, sf, "part").select(
-        "p_partkey", "p_name", F.expr("CASE WHEN p_size % 2 = 0 THEN p_type END").alias("kind")
+        "p_partkey",
+        F.array(F.array(F.col("p_partkey").cast("string"), "p_name", F.expr("CASE WHEN p_size % 2 = 0 THEN p_type END"))).alias("rows"),
     )
-    books = spread(parts).mapInArrow(pack, "path string, content binary")
+    books = workbooks(spread(parts), ["Cod. Part", "Nome (part)", "Tipo"], "p_partkey")
     return sheets.sheet_frame(stored(sheets.read_cells(books), "sheets")).drop("source_path", "row")
 
 
