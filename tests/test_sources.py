@@ -85,6 +85,31 @@ def test_every_list_has_its_own_header_and_keeps_its_order(spark, tmp_path):
     assert rows_of(kept, "id", "objectType", "objectPath")[0][:2] == ("1", "MTT")
 
 
+def test_a_bad_byte_or_a_long_field_loses_one_row_at_most(spark, tmp_path):
+    head, long = b"id,objectPath,objectName,objectType\n", b"x" * 200_000
+    (tmp_path / "a.csv").write_bytes(head + b"1,/a,n,MTT\n2,\xff,n,MTT\n3,/c,n,MTT\n4," + long + b",n,MTT\n5,/e\n6,/f,n,MTT\n")
+    (tmp_path / "b.csv").write_bytes(head + b'7,"/g\n""h""",n,MTT\n8,\xff,n,MTT\n9,"' + long + b'",n,MTT\n')
+    got = scan_package_csv(spark, str(tmp_path))
+    assert sorted(r["id"] for r in got.where("error is null").collect()) == ["1", "3", "4", "6", "7", "9"]
+    assert sorted(r["id"] for r in got.where("error is not null").collect()) == ["2", "5", "8"]
+    assert {len(r["objectPath"]) for r in got.where("id in ('4', '9')").collect()} == {200_000}
+    assert rows_of(got, "id", "_pos") == [(str(i), i - 1) for i in range(1, 7)] + [("7", 0), ("8", 1), ("9", 2)]
+
+
+def test_a_large_list_is_split_and_keeps_its_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,objectPath\n" + "".join(f"{i % 77},/p{i}\n" for i in range(5000)))
+    (tmp_path / "b.csv").write_text("\ufeffobjectPath,id,id\n" + "".join(f"/q{i},no,{i}\n" for i in range(10)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10KB")
+    try:
+        got = scan_package_csv(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    first = sorted((r for r in got if r["source_path"].endswith("a.csv")), key=lambda r: r["_pos"])
+    assert [(r["_pos"], r["id"], r["objectPath"]) for r in first] == [(i, str(i % 77), f"/p{i}") for i in range(5000)]
+    second = sorted((r for r in got if r["source_path"].endswith("b.csv")), key=lambda r: r["_pos"])
+    assert [(r["_pos"], r["id"], r["objectPath"]) for r in second] == [(i, str(i), f"/q{i}") for i in range(10)]
+
+
 def test_workbooks_with_columns_in_another_order(spark):
     cells = spark.createDataFrame(
         [("x", 0, 0, "A"), ("x", 0, 1, "B"), ("x", 1, 0, "a1"), ("x", 1, 1, "NA"),
@@ -144,6 +169,55 @@ def test_taskflow_files(spark, tmp_path):
     assert rows_of(merged, "EntryId", "Name") == [("E1", "é3")]
 
 
+def test_a_large_taskflow_file_is_split_and_keeps_its_order(spark, tmp_path):
+    item = ('<types1:Item><types1:EntryId>E{n}</types1:EntryId><types1:Name>é &lt;{n}&gt;</types1:Name><types1:Entry>'
+            '<ns0:taskflow name="a&gt;b" x=\'1>2\'><ns0:flow><ns0:eventContainer><ns0:service id="s"><ns0:serviceInput>'
+            '<ns0:parameter name="p">\n  <ns0:operation source="o"> </ns0:operation>tail</ns0:parameter>'
+            '<ns0:parameter name="q" source="a>b">in <ns0:operation/>tail</ns0:parameter></ns0:serviceInput></ns0:service>'
+            '</ns0:eventContainer></ns0:flow></ns0:taskflow></types1:Entry></types1:Item>\n')
+    items = [item.format(n=n % 90) for n in range(300)] + ["<types1:Item/>", "<!-- none -->"]
+    (tmp_path / "a.xml").write_bytes(flow_xml(*items).encode("latin-1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        found = scan_taskflow_xml(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().toString()
+        assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r["pos"]["block"] for r in rows}) > 3
+    ordered = sorted(rows, key=lambda r: (r["pos"]["block"], r["pos"]["row"]))
+    assert [r["item"]["Name"] for r in ordered] == [f"é <{n % 90}>" for n in range(300)]
+    shredded = shred_taskflows(found)
+    values = rows_of(shredded["ServiceInput"].distinct(), "ParameterName", "Source", "Value")
+    assert set(values) == {("p", "", "\n  "), ("q", "a>b", "in ")}
+    assert set(rows_of(shredded["ServiceOperation"], "OperationSource", "Value")) == {("o", " "), ("", "")}
+
+
+def test_taskflow_files_with_other_prefixes_and_encodings(spark, tmp_path):
+    item = "<types1:Item><types1:EntryId>{n}</types1:EntryId><types1:Name>é</types1:Name></types1:Item>"
+    uri = NAMESPACES["types1"]
+
+    def put(name, text, encoding="latin-1"):
+        (tmp_path / f"{name}.xml").write_bytes(text.encode(encoding))
+
+    put("a", flow_xml(item.format(n="a")))
+    put("b", flow_xml(item.format(n="b")).replace("types1", "q"))
+    put("c", flow_xml(item.format(n="c").replace("types1:", "")).replace("xmlns:types1", "xmlns"))
+    put("d", "\ufeff" + flow_xml(item.format(n="d")).replace("ISO-8859-1", "UTF-8"), "utf-8")
+    put("bad1", flow_xml(item.format(n="x")).replace("ISO-8859-1", "utf-8"))
+    put("bad2", flow_xml(item.format(n="x")).replace("ISO-8859-1", "koi8-r"))
+    put("bad3", flow_xml(item.format(n="x"), "<open>"))
+    put("bad4", flow_xml(item.format(n="x"))[:-5])
+    put("bad5", flow_xml(item.format(n="x"), "<types1:Item><types1:Name></types1:Item>"))
+    put("none", f'<r xmlns="{uri}"/>')
+    got = scan_taskflow_xml(spark, str(tmp_path))
+    good = got.where("error is null").select("item.EntryId", "item.Name").collect()
+    assert sorted(tuple(r) for r in good) == [(n, "é") for n in "abcd"]
+    bad = {r["source_path"].rsplit("/", 1)[-1][:-4]: r["error"] for r in got.where("error is not null").collect()}
+    assert set(bad) == {"bad1", "bad2", "bad3", "bad4", "bad5"} and "koi8-r" in bad["bad2"]
+
+
 def workbook(path, sheet, shared=(), styles=""):
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
