@@ -85,19 +85,49 @@ def upsert(
     """
     columns = target.columns
     batch = _collapsed(updates, keys, insert_only, order_cols, columns)
+    return _merged(target, batch, keys, insert_only)
+
+
+def _merged(target: DataFrame, batch: DataFrame, keys, insert_only, how: str = "full_outer") -> DataFrame:
     old = target.withColumn(_KEY, _key(keys)).withColumn("_present", F.lit(True))
-    joined = old.join(batch, _KEY, "full_outer")
+    joined = old.join(batch, _KEY, how)
     is_old = F.col("_present").isNotNull()
+    has_last = _LAST in batch.columns
 
     def pick(name: str) -> Column:
         if name in keys:
             return F.col(_KEY)[name].alias(name)
         if name in insert_only:
             return F.when(is_old, F.col(name)).otherwise(F.col(_FIRST)[name]).alias(name)
-        updated = F.col(_LAST).isNotNull()
+        updated = F.col(_LAST).isNotNull() if has_last else F.lit(False)
         return F.when(updated, F.col(_LAST)[name]).otherwise(F.col(name)).alias(name)
 
-    return joined.select(*[pick(c) for c in columns])
+    return joined.select(*[pick(c) for c in target.columns])
+
+
+def collapsed(updates: DataFrame, table: Table, order_cols: Sequence[str]) -> DataFrame:
+    """A batch as one row per key: ``_key`` and the structs of its last and first values."""
+    return _collapsed(updates, table.keys, table.insert_only, order_cols, table.columns)
+
+
+def merged(target: DataFrame, batch: DataFrame, table: Table) -> DataFrame:
+    """Target after inserting a collapsed batch, by one full join."""
+    return _merged(target.select(*table.columns), batch, table.keys, table.insert_only)
+
+
+def held_keys(target: DataFrame, batch: DataFrame, table: Table) -> DataFrame:
+    """The keys of a collapsed batch that the target holds."""
+    return target.select(_key(table.keys)).join(batch.select(_KEY), _KEY, "left_semi")
+
+
+def updated(target: DataFrame, batch: DataFrame, held: DataFrame, table: Table) -> DataFrame:
+    """The rows of :func:`merged`, from the batch's keys that the target holds.
+
+    The target meets the batch in a left join only, so with a small batch it is not shuffled.
+    """
+    old = _merged(target.select(*table.columns), batch, table.keys, table.insert_only, "left")
+    fresh = batch.join(held, _KEY, "left_anti")
+    return old.unionByName(fresh.select(*_flat(table.keys, table.insert_only, table.columns)))
 
 
 def upsert_table(

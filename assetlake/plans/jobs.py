@@ -221,7 +221,8 @@ def load_taskflows(store: TableStore, items: DataFrame, waves: Sequence[str]) ->
         return store.rewrite(name, doomed.union(new.select("EntryId")), changed)
 
     # The tables do not depend on each other; writing some at a time keeps the cluster busy.
-    with ThreadPoolExecutor(max_workers=5) as pool:
+    # They change together or not at all.
+    with store.publication(), ThreadPoolExecutor(max_workers=5) as pool:
         return dict(zip(TASKFLOW_TABLES, pool.map(load, TASKFLOW_TABLES)))
 
 

@@ -1,121 +1,202 @@
 """Target tables as Parquet folders, or in an external database over JDBC.
 
-A table that is replaced by waves is partitioned by the wave column and written with
-dynamic partition overwrite, so only the touched slices are rewritten.  A table that is upserted
-is partitioned by a hash bucket of its first key column; an upsert reads, merges and rewrites the
-buckets that its batch touches and leaves the files of the others.  Any other table is
-a folder of numbered versions: a new one is written next to the one being read and counts
-once Spark's commit marker is there, so a failed load leaves the old version in place.
+Every write goes to a new folder.  What the tables consist of is said by numbered markers, small
+JSON files in one folder, each of which is made by a rename: the newest one counts.  All writes
+inside one ``publication`` become valid by one marker, so a load that fails leaves every table
+as it was, and readers never see half of it.  One load writes at a time; a second one that would
+publish the same number fails.
+
+A table that is replaced by waves is partitioned by the wave column, and one that is upserted by
+a hash bucket of its first key column; a write replaces the parts that it touches and leaves the
+files of the others.  Buckets grow in number with the bytes of the table, and a large bucket is
+written by several tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import threading
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import fresh_rows, upsert_table
+from ..operators.merge import collapsed, fresh_rows, held_keys, merged, updated, upsert_table
 from ..schemas import TABLES, Table
 from .scratch import stored
 
-_BUCKET = "key_bucket"
-_KEPT_VERSIONS = 3
+_BUCKET, _VERSION = "key_bucket", "load_version"
+_BUCKET_BYTES = 256 << 20  # a table has a bucket for each of these, about
+_MOST_FOLDERS = 64  # a table that is only appended to is written anew beyond so many
+
+State = dict[str, dict]  # table: {"buckets": n or None, "parts": [[version, partition folder or "", bytes], ...]}
 
 
 class TableStore:
     """Tables below one root folder that all executors can reach.
 
-    ``buckets`` is the number of buckets of an upserted table; it must stay the same for the
-    life of the tables.
+    ``buckets`` is the least number of buckets of an upserted table.  ``keep`` is the number of
+    published states whose files stay: with 2, what was read before the last load can still be read.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, keep: int = 1):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.keep = keep
+        self._lock = threading.RLock()
+        self._pending: State | None = None
+        self._folders = 0
+
+    # --- files and markers
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _exists(self, path: str) -> bool:
+    def _names(self, path: str) -> list[str]:
         fs, hadoop_path = self._fs(path)
-        return fs.exists(hadoop_path)
+        return [status.getPath().getName() for status in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+    def _bytes(self, path: str) -> int:
+        fs, hadoop_path = self._fs(path)
+        return fs.getContentSummary(hadoop_path).getLength()
 
     def _delete(self, path: str) -> None:
         fs, hadoop_path = self._fs(path)
         fs.delete(hadoop_path, True)
 
-    def _versions(self, name: str) -> list[int]:
-        """Committed versions of a table, oldest first."""
-        folder = f"{self.root}/{name}"
-        if not self._exists(folder):
-            return []
-        fs, hadoop_path = self._fs(folder)
-        names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-        numbers = sorted(int(n[2:]) for n in names if n.startswith("v-") and n[2:].isdigit())
-        return [n for n in numbers if self._exists(f"{folder}/v-{n}/_SUCCESS")]
+    def _markers(self) -> list[int]:
+        return sorted(int(n) for n in self._names(f"{self.root}/_published") if n.isdigit())
+
+    def _state_of(self, number: int) -> State:
+        fs, hadoop_path = self._fs(f"{self.root}/_published/{number:010d}")
+        stream = fs.open(hadoop_path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _state(self) -> State:
+        with self._lock:
+            if self._pending is not None:
+                return self._pending
+            numbers = self._markers()
+            return self._state_of(numbers[-1]) if numbers else {}
+
+    @contextmanager
+    def publication(self) -> Iterator[None]:
+        """Everything written inside becomes valid at its end, or nothing if it fails."""
+        with self._lock:
+            outer = self._pending is not None
+            if not outer:
+                self._number = (self._markers() or [0])[-1] + 1
+                self._pending = json.loads(json.dumps(self._state()))
+                self._folders = 0
+        if outer:
+            yield
+            return
+        try:
+            yield
+            self._publish()
+        finally:
+            self._pending = None
+
+    def _publish(self) -> None:
+        fs, made = self._fs(f"{self.root}/_published/.new-{uuid.uuid4().hex}")
+        out = fs.create(made)
+        out.write(bytearray(json.dumps(self._pending).encode()))
+        out.close()
+        _, marker = self._fs(f"{self.root}/_published/{self._number:010d}")
+        if fs.exists(marker) or not fs.rename(made, marker):
+            raise RuntimeError(f"another load has published number {self._number}")
+        numbers = self._markers()
+        kept = {part for n in numbers[-self.keep :] for part in self._paths(self._state_of(n))}
+        for number in numbers[: -self.keep]:
+            for path in set(self._paths(self._state_of(number))) - kept:
+                self._delete(path)
+            self._delete(f"{self.root}/_published/{number:010d}")
+
+    def _paths(self, state: State) -> list[str]:
+        return [self._path(name, part) for name, table in state.items() for part in table["parts"]]
+
+    def _path(self, name: str, part: Sequence) -> str:
+        return f"{self.root}/{name}/{_VERSION}={part[0]}" + (f"/{part[1]}" if part[1] else "")
+
+    # --- reading
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now; an empty frame where it was never written."""
-        return self._read(name)
+        return self._read(name, self._state().get(name))
 
-    def _read(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
+    def _read(self, name: str, known: dict | None) -> DataFrame:
         table = TABLES.get(name)
-        if table and table.slice_by:
-            path = f"{self.root}/{name}" if self._exists(f"{self.root}/{name}") else None
-        else:
-            versions = self._versions(name)
-            path = f"{self.root}/{name}/v-{versions[-1]}" if versions else None
-        if path is None:
-            if table is None:
-                raise ValueError(f"table {name} was never written")
+        if known is None and table is None:
+            raise ValueError(f"table {name} was never written")
+        if known is None or not known["parts"]:
             return self.spark.createDataFrame([], table.schema)
         reader = self.spark.read.schema(table.schema) if table else self.spark.read
-        frame = reader.parquet(path)
-        if buckets is not None and _BUCKET in frame.columns:  # a table without rows has no buckets
-            frame = frame.filter(F.col(_BUCKET).isin(list(buckets)))
-        return frame.select(*table.columns) if table else frame
+        frame = reader.option("basePath", f"{self.root}/{name}").parquet(*[self._path(name, p) for p in known["parts"]])
+        return frame.select(*table.columns) if table else frame.drop(_VERSION)
+
+    # --- writing
 
     @staticmethod
     def _typed(table: Table, rows: DataFrame) -> DataFrame:
         return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
 
-    def _counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, Observation]:
+    def _write(self, name: str, rows: DataFrame, buckets: int | None = None) -> tuple[list[list], int]:
+        """Writes rows to a new folder; gives its parts and the number of rows."""
         table = TABLES.get(name)
-        if table:
-            rows = self._typed(table, rows)
-        seen = Observation()
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if table and table.slice_by:
-            # As many values as waves are loaded in one run.
-            metrics.append(F.collect_set(table.slice_by).alias("slices"))
-        return rows.observe(seen, *metrics), seen
+        rows = self._typed(table, rows) if table else rows
+        with self._lock:
+            self._folders += 1
+            version = f"v{self._number}-{self._folders}"
+        by = table.slice_by if table else None
+        if buckets:
+            rows, by = rows.withColumn(_BUCKET, self._bucket(table, buckets)), _BUCKET
+            # a bucket goes to as many tasks as its bytes ask for, small ones share a task
+            rows = rows.hint("rebalance", F.col(_BUCKET))
+        writer = rows.write.mode("overwrite")
+        path = f"{self.root}/{name}/{_VERSION}={version}"
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        names = [n for n in self._names(path) if "=" in n] if by else [""]
+        parts = [[version, n, self._bytes(f"{path}/{n}" if n else path)] for n in names]
+        return parts, self._read(name, {"parts": parts}).count() if parts else 0  # from the footers
+
+    def _put(self, name: str, parts: list[list], buckets: int | None = None) -> None:
+        with self._lock:
+            self._pending[name] = {"buckets": buckets, "parts": parts}
 
     def overwrite(self, name: str, rows: DataFrame) -> int:
         """Full reload; gives the number of rows written."""
-        table, versions = TABLES.get(name), self._versions(name)
-        number = versions[-1] + 1 if versions else 1
-        if table and table.bucketed:
-            self._write(name, self._typed(table, rows), f"{self.root}/{name}/v-{number}", "overwrite")
-            self._drop_old(name, versions)
-            return self.read(name).count()  # from the footers of what was written
-        rows, seen = self._counted(name, rows)
-        self._write(name, rows, f"{self.root}/{name}/v-{number}", "overwrite")
-        self._drop_old(name, versions)
-        return seen.get["rows"]
-
-    def _drop_old(self, name: str, versions: list[int]) -> None:
-        for old in versions[: -(_KEPT_VERSIONS - 1)]:
-            self._delete(f"{self.root}/{name}/v-{old}")
+        with self.publication():
+            table, known = TABLES.get(name), self._state().get(name)
+            buckets = self._buckets(known) if table and table.bucketed else None
+            parts, n = self._write(name, rows, buckets)
+            self._put(name, parts, buckets)
+            return n
+
+    def _buckets(self, known: dict | None) -> int:
+        """Buckets for the bytes that a table has now: a power of two times the least number."""
+        found, wanted = self.buckets, sum(p[2] for p in known["parts"]) / _BUCKET_BYTES if known else 0
+        while found < wanted:
+            found *= 2
+        return max(found, (known or {}).get("buckets") or 0)
 
     def append(self, name: str, rows: DataFrame) -> int:
-        """Adds rows to the current version; gives their number."""
-        rows, seen = self._counted(name, rows)
-        number = (self._versions(name) or [1])[-1]
-        self._write(name, rows, f"{self.root}/{name}/v-{number}", "append")
-        return seen.get["rows"]
+        """Adds rows to the table; gives their number."""
+        with self.publication():
+            known = self._state().get(name) or {"parts": []}
+            parts, n = self._write(name, rows)
+            if len(known["parts"]) >= _MOST_FOLDERS:
+                whole = self._read(name, {"parts": known["parts"] + parts})
+                known, parts = {"parts": []}, self._write(name, whole)[0]
+            self._put(name, known["parts"] + parts)
+            return n
 
     def insert_new(self, name: str, updates: DataFrame, order_cols: Sequence[str] | None) -> int:
         """Appends the rows whose key is new; the table itself is not rewritten."""
@@ -127,55 +208,54 @@ class TableStore:
         table = TABLES[name]
         if not table.bucketed:
             return self.overwrite(name, upsert_table(self.read(name), updates, table, order_cols))
-        batch = stored(updates, "batch")  # read for its buckets and for its rows
-        return self.rewrite(name, batch, lambda old: upsert_table(old, batch, table, order_cols))
+        # one row per key, read for its buckets and for its rows
+        batch = stored(collapsed(updates, table, order_cols), "batch")
+        keys = batch.select(F.col("_key")[table.keys[0]].alias(table.keys[0]))
+        return self.rewrite(name, keys, lambda old: self._merged(old, batch, table))
+
+    def _merged(self, old: DataFrame, batch: DataFrame, table: Table) -> DataFrame:
+        """A batch that Spark broadcasts is merged without a shuffle of the table; a larger one by one full join."""
+        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        if self._scanned_bytes(batch) > limit:
+            return merged(old, batch, table)
+        # the batch's keys that the table holds are as few as the batch; stored, so that their size is known
+        held = stored(held_keys(old, batch, table), "held")
+        return updated(old, batch, held, table)
+
+    @staticmethod
+    def _scanned_bytes(frame: DataFrame) -> int:
+        return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
     def rewrite(self, name: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> int:
         """Puts ``change`` of them in place of the buckets that hold keys of ``touched``.
 
-        ``touched`` has the first key column of the table.  A repeated run after a failure
-        gives the same rows, as the changes are upserts.
+        ``touched`` has the first key column of the table.
         """
-        table, versions = TABLES[name], self._versions(name)
-        if not versions:
-            return self.overwrite(name, change(self.read(name)))
-        numbers = [r[0] for r in touched.select(self._bucket(table)).distinct().collect()]  # at most ``buckets``
-        # stored first, as it is counted, written, and must not read what is being replaced
-        rows = stored(self._typed(table, change(self._read(name, numbers))), "rewritten")
-        rows = rows.withColumn(_BUCKET, self._bucket(table))
-        filled = {r[_BUCKET]: r["count"] for r in rows.groupBy(_BUCKET).count().collect()}
-        path = f"{self.root}/{name}/v-{versions[-1]}"
-        writer = rows.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(_BUCKET).parquet(path)
-        for number in set(numbers) - set(filled):
-            self._delete(f"{path}/{_BUCKET}={number}")
-        return sum(filled.values())
-
-    def _bucket(self, table: Table) -> Column:
-        return F.pmod(F.xxhash64(F.col(table.keys[0]).cast("string")), F.lit(self.buckets)).cast("int")
-
-    def _write(self, name: str, rows: DataFrame, path: str, mode: str) -> None:
-        table = TABLES.get(name)
-        if table and table.bucketed:
-            rows = rows.withColumn(_BUCKET, self._bucket(table)).repartition(_BUCKET)
-            rows.write.mode(mode).partitionBy(_BUCKET).parquet(path)
-        else:
-            rows.write.mode(mode).parquet(path)
+        with self.publication():
+            table, known = TABLES[name], self._state().get(name)
+            if known is None or self._buckets(known) > known["buckets"]:
+                return self.overwrite(name, change(self._read(name, known)))
+            buckets = known["buckets"]
+            numbers = touched.select(self._bucket(table, buckets)).distinct().collect()  # at most ``buckets``
+            names = {f"{_BUCKET}={r[0]}" for r in numbers}
+            old = [p for p in known["parts"] if p[1] in names]
+            parts, n = self._write(name, change(self._read(name, {"parts": old})), buckets)
+            self._put(name, [p for p in known["parts"] if p[1] not in names] + parts, buckets)
+            return n
+
+    @staticmethod
+    def _bucket(table: Table, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(table.keys[0]).cast("string")), F.lit(buckets)).cast("int")
 
     def replace_slices(self, name: str, rows: DataFrame, values: Sequence[str]) -> int:
         """Replaces whole slices of a sliced table; a slice without rows is removed."""
         column = TABLES[name].slice_by
-        rows, seen = self._counted(name, rows.filter(F.col(column).isin(list(values))))
-        path = f"{self.root}/{name}"
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(path)
-        )
-        for value in set(values) - set(seen.get["slices"]):
-            self._delete(f"{path}/{column}={value}")
-        return seen.get["rows"]
+        with self.publication():
+            known = self._state().get(name) or {"parts": []}
+            parts, n = self._write(name, rows.filter(F.col(column).isin(list(values))))
+            kept = [p for p in known["parts"] if unquote(p[1].partition("=")[2]) not in set(values)]
+            self._put(name, kept + parts)
+            return n
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
