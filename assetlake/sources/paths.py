@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,23 +55,48 @@ def asset_paths(
         path = F.concat_ws("/", root, F.lit(SYSTEM))
     else:
         path = F.concat_ws("/", root, F.lit(EXPLORE), "project_label", "pasta")
-    return existing_paths(spark, [r[0] for r in folders.select(path).distinct().toLocalIterator()])
+    return existing_paths(spark, folders.select(path.alias("path")).distinct())
 
 
-def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The paths that are there, sorted; missing ones are skipped."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def existing_paths(spark: SparkSession, paths: Sequence[str] | DataFrame) -> list[str]:
+    """The paths (a list or a frame with ``path``) that are there, sorted; missing ones are skipped.
 
-    def names_in(parent: str) -> set[str]:
-        folder = jvm.org.apache.hadoop.fs.Path(parent)
-        system = folder.getFileSystem(conf)
-        listed = system.listStatus(folder) if system.exists(folder) else []
-        return {status.getPath().getName() for status in listed}
-
-    # each parent folder is listed once, whatever the number of paths in it
-    wanted = {p: p.rpartition("/") for p in set(paths)}
-    there = {parent: names_in(parent) for parent in {parts[0] for parts in wanted.values()}}
-    return sorted(p for p, (parent, _, name) in wanted.items() if name in there[parent])
+    The paths are looked up in tasks.  Those on a file system that only the JVM reads are looked up
+    from here.
+    """
+    if not isinstance(paths, DataFrame):
+        paths = spark.createDataFrame([(p,) for p in set(paths)], "path string")
+    found = with_existence(paths).where("coalesce(found, true)").collect()
+    conf = spark._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(conf).exists(folder)
+
+    return sorted(r["path"] for r in found if r["found"] or there(r["path"]))
+
+
+def with_existence(paths: DataFrame) -> DataFrame:
+    """``path`` and whether it is there; NULL where tasks can't read its file system."""
+    spark = paths.sparkSession
+    # a path without a scheme is one of the cluster's file system
+    root = spark._jvm.org.apache.hadoop.fs.Path("/").getFileSystem(spark._jsc.hadoopConfiguration()).getUri().toString()
+    root = root.rstrip("/") if not root.startswith("file:") else ""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found: list[bool | None] = []
+            for path in batch.column("path").to_pylist():
+                try:
+                    system, name = fs.FileSystem.from_uri(root + path if path.startswith("/") else path)
+                    found.append(system.get_file_info(name).type != fs.FileType.NotFound)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.bool_())], ["path", "found"])
+
+    return paths.select("path").mapInArrow(look_up, "path string, found boolean")
 
 
 def with_path_columns(df: DataFrame, path: Column | None = None) -> DataFrame:
