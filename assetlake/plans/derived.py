@@ -142,8 +142,8 @@ def mapping_documents(
     )
 
 
-def task_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One task document per line item."""
+def task_documents(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One task document per line item: ``source_path, body`` and the kept line columns."""
     items = spread(table(spark, sf_dir, "lineitem"))
     wave = wave_sql("l_suppkey")
     flag = """CASE (l_orderkey + l_linenumber) % 7 WHEN 0 THEN 'true' WHEN 1 THEN '"Yes"'
@@ -167,6 +167,7 @@ def task_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(
         F.expr("concat('tasks/', l_orderkey, '_', l_linenumber)").alias("source_path"),
         F.expr(body).alias("body"),
+        *keep,
     )
 
 
@@ -197,6 +198,29 @@ def zipped(docs: DataFrame, member: str, suffix: str) -> DataFrame:
     return named.mapInArrow(pack, "path string, content binary")
 
 
+def written(files: DataFrame, folder: str) -> str:
+    """Writes every row (``path`` below the folder, ``content``) to a file of its own; gives the folder."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        made: set[str] = set()
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                target = f"{root}/{path}"
+                parent = target.rpartition("/")[0]
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(target) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["n"])
+
+    files.select("path", "content").mapInArrow(write, "n long").agg(F.sum("n")).collect()  # one number
+    return folder
+
+
 def file_record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file-record document per event, in every root shape and with unusable records."""
     ident = """CASE event_id % 7 WHEN 0 THEN concat('"id":"@', event_id, '",')

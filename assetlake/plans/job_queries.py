@@ -13,7 +13,9 @@ from ..sources.store import TableStore
 from ..sources.taskflow_xml import parse_taskflows
 from . import jobs
 from .derived import (
+    ORDER_WAVE,
     RUN_TS,
+    TASK_NAME,
     WAVES,
     connection_documents,
     export_documents,
@@ -118,6 +120,52 @@ def _(spark, sf):
     return store.read("transformation_file_records_hist")
 
 
+# Records of equal ids are one, the last document winning.
+_RELOADED = f"""SELECT id, arg_max(name, path) AS name, arg_max(type, path) AS type, arg_max(size, path) AS size,
+        arg_max(updated_time, path) AS updated_time, arg_max(updated_time_brazil, path) AS updated_time_brazil,
+        arg_min("CodOnda", path) AS "CodOnda", arg_min("CodProcess", path) AS "CodProcess"
+      FROM (SELECT *, concat('records/', "CodProcess") AS path FROM ({CHECKS["file_records"]})) GROUP BY id"""
+
+
+@query("job_file_records_table", _RELOADED)
+def _(spark, sf):
+    """The reloaded table itself, after two loads."""
+    store = _store(spark)
+    for _ in range(2):
+        jobs.load_file_records(store, file_record_documents(spark, sf), "2024-01-25 02:00:00")
+    return store.read("transformation_file_records")
+
+
+# The newest day of the records, and what was loaded for their keys before.
+_RECORDS = """SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'IMAGE' ELSE 'BIN' END AS type,
+    TIMESTAMP '2024-05-30 00:00:00' + to_days(CAST(o_orderkey % 3 AS INTEGER)) AS updated FROM orders"""
+
+
+@query(
+    "job_transformation_history",
+    f"""SELECT id, name, content_name, "CodOnda", "CodProcess" FROM ({_OF_WAVES.format(CHECKS["transformations"])}) t
+      WHERE EXISTS (SELECT 1 FROM ({_RECORDS}) r WHERE r.type <> 'IMAGE'
+          AND CAST(updated AS DATE) = (SELECT max(CAST(updated AS DATE)) FROM ({_RECORDS}))
+          AND t."CodOnda" = {ORDER_WAVE.replace("o_custkey", "r.o_custkey")}
+          AND t."CodProcess" = CAST(r.o_custkey % 100 AS VARCHAR))""",
+)
+def _(spark, sf):
+    """A second load keeps the first one's rows of the waves and processes with records of the newest day."""
+    store = _with_transformations(spark, sf)
+    records = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.lit("f").alias("name"),
+        F.expr("IF(o_orderkey % 4 = 0, 'IMAGE', 'BIN')").alias("type"),
+        F.lit(0).alias("size"),
+        F.expr("TIMESTAMP_NTZ'2024-05-30 00:00:00' + make_interval(0, 0, 0, int(o_orderkey % 3))").alias("updated_time"),
+        F.expr(ORDER_WAVE).alias("CodOnda"),
+        F.expr("string(o_custkey % 100)").alias("CodProcess"),
+    )
+    store.overwrite("transformation_file_records", records.withColumn("updated_time_brazil", F.col("updated_time")))
+    jobs.load_transformations(store, WAVES, RUN_TS)
+    return store.read("transformation_hist").select("id", "name", "content_name", "CodOnda", "CodProcess")
+
+
 @query("job_connections", CHECKS["connections"])
 def _(spark, sf):
     store = _store(spark)
@@ -143,6 +191,31 @@ def _(spark, sf):
     return tasks.join(children, F.col("name") == F.col("task_name"), "left_semi")
 
 
+def _task_children(spark, sf) -> TableStore:
+    """Tasks whose documents are told apart by their paths where the source repeats a line's number."""
+    docs = task_documents(spark, sf, keep=["l_partkey", "l_quantity", "l_returnflag", "l_linestatus"])
+    place = "concat(source_path, '_', lpad(string(l_partkey), 12, '0'), lpad(string(int(l_quantity)), 6, '0'), l_returnflag, l_linestatus)"
+    store = _store(spark)
+    jobs.load_tasks(store, docs.withColumn("source_path", F.expr(place)), RUN_TS)
+    jobs.load_task_children(store, RUN_TS)
+    return store
+
+
+# A task is known by its name, and the last document of a name is the task.
+_LAST_LINE = f"""(SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY {TASK_NAME}
+    ORDER BY l_partkey DESC, CAST(l_quantity AS INTEGER) DESC, l_returnflag DESC, l_linestatus DESC) = 1)"""
+
+
+@query("job_task_parameters", CHECKS["task_parameters"].replace("FROM lineitem", f"FROM {_LAST_LINE}"))
+def _(spark, sf):
+    return _task_children(spark, sf).read("s_task_parameters")
+
+
+@query("job_task_properties", CHECKS["task_properties_run"].replace("FROM lineitem", f"FROM {_LAST_LINE}"))
+def _(spark, sf):
+    return _task_children(spark, sf).read("s_task_sessionPropertiesList")
+
+
 @query("job_package_contents", CHECKS["package_contents"])
 def _(spark, sf):
     store = _store(spark)
@@ -182,6 +255,11 @@ def _(spark, sf):
     return _with_taskflows(spark, sf).read("Dependencies")
 
 
+@query("job_taskflows_item", CHECKS["taskflow_item"])
+def _(spark, sf):
+    return _with_taskflows(spark, sf).read("Item")
+
+
 # The tables whose columns are texts and flags, each row as one text.
 _PLAIN = [name for name in TASKFLOW_TABLES if name not in ("Item", "Dependencies")]
 
