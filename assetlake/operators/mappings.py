@@ -1,7 +1,8 @@
 """Mapping documents un-nested: content, transformations, properties, adapters, objects.
 
-Each step takes the frame of its parent.  Nested JSON columns may be text (as stored) or
-VARIANT (in flight): with ``nested="node"`` a whole chain parses every document once.
+Each step takes the frame of its parent.  Nested JSON columns may be text or VARIANT: with
+``nested="node"`` (in flight) or ``nested="stored"`` (for tables with VARIANT columns, where an
+absent key is its default) a whole chain parses every document once.
 ``_pos`` is the place in the parent's array and ``_content`` the id of the parent document, for
 last-writer-wins.
 
@@ -54,7 +55,9 @@ def key(name: str) -> Column:
 
 
 def text_or_node(name: str, default: str, nested: str) -> Column:
-    """A nested key as JSON text for storing, or as it is (``nested="node"``)."""
+    """A nested key as JSON text, as it is (``nested="node"``), or as a node with its default (``"stored"``)."""
+    if nested == "stored":
+        return F.coalesce(key(name), F.parse_json(F.lit(default)))
     return key(name) if nested == "node" else json_text(key(name), default)
 
 

@@ -229,6 +229,34 @@ def _(spark, sf):
     return store.read("ContentsofExportPackage")
 
 
+@query(
+    "job_package_counters",
+    f"""SELECT table_name, count(*) AS sources, count(*) AS records_read,
+        count(*) FILTER (p_partkey % 4 < 3) AS written, count(*) FILTER (p_partkey % 4 = 3) AS ignored,
+        CAST(0 AS BIGINT) AS failed, true AS success, TIMESTAMP '{RUN_TS}' AS run_time
+      FROM part, (SELECT unnest(['ContentsofExportPackage', NULL]) AS table_name) GROUP BY table_name""",
+)
+def _(spark, sf):
+    """What a load of package lists has counted, per table and in total."""
+    store = _store(spark)
+    rows = package_rows(spark, sf).select(
+        F.concat(F.lit("lists/"), "id").alias("source_path"),
+        F.lit(0).cast("long").alias("_pos"),
+        "*",
+        F.lit(None).cast("string").alias("error"),
+    )
+    jobs.load_package_contents(store, rows, RUN_TS)
+    return store.read("load_audit")
+
+
+@query("job_naming_summary", _OF_WAVES.format(CHECKS["naming_summary"]))
+def _(spark, sf):
+    """The names and adapters that an adapter load has counted."""
+    store = _with_transformations(spark, sf)
+    jobs.load_data_adapters(store, WAVES, RUN_TS)
+    return store.read("naming_summary").drop("run_time")
+
+
 @query("job_exported_objects", CHECKS["exported_objects"])
 def _(spark, sf):
     store = _store(spark)

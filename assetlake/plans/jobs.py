@@ -14,6 +14,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import elements_of
+from ..functions.codes import PACKAGE_TYPES
 from ..operators.assets import (
     derive_connections,
     derive_exported_objects,
@@ -35,12 +37,13 @@ from ..operators.mappings import (
     derive_transformations,
 )
 from ..operators.merge import collapse_batch, doomed_keys, fresh_rows, upsert_table, without_keys
-from ..operators.quality import load_audit, naming_anomalies, split_rejects
+from ..operators.quality import load_audit, naming_anomalies, naming_summary, split_rejects
+from ..operators.stamps import run_stamp
 from ..operators.standardize import apply_rename_rules, clean_columns, nan_to_null
 from ..operators.taskflows import TASKFLOW_ORDER, shred_taskflows
 from ..operators.tasks import derive_task_parameters, derive_task_properties, derive_tasks
 from ..schemas import TABLES, TASKFLOW_TABLES
-from ..sources.documents import json_error
+from ..sources.documents import json_error, wrapped_json
 from ..sources.scratch import stored
 from ..sources.store import TableStore
 
@@ -56,25 +59,28 @@ STAGED = {
 
 
 def stage_packages(store: TableStore, name: str, packages: DataFrame) -> Written:
-    """Keeps the members of unzipped packages with their error, if any.
+    """Keeps the members of unzipped packages as parsed documents, with their error, if any.
 
-    One pass over the packages; loaders then read the column of their kind only.
+    One pass over the packages, in which each document is parsed once; loaders then read the
+    column of their kind only.
     """
-    checked = {
-        kind: F.struct(
-            F.col(kind).body.alias("body"),
-            json_error(F.col(kind).body, F.col(kind).error).alias("error"),
-        )
-        for kind in STAGED
-        if kind in packages.columns
-    }
-    return {name: store.overwrite(name, packages.withColumns(checked))}
+    kinds = [kind for kind in STAGED if kind in packages.columns]
+    # a column of its own, so that a document is parsed once for all that is said about it
+    parsed = packages.withColumns({f"_{kind}": wrapped_json(F.col(kind).body) for kind in kinds})
+
+    def checked(kind: str) -> Column:
+        error = json_error(F.col(kind).body, F.col(kind).error, F.col(f"_{kind}"))
+        document = F.when(error.isNull(), F.try_variant_get(f"_{kind}", "$[0]", "variant"))
+        return F.struct(document.alias("body"), error.alias("error"))
+
+    rows = parsed.withColumns({kind: checked(kind) for kind in kinds}).drop(*[f"_{kind}" for kind in kinds])
+    return {name: store.overwrite(name, rows)}
 
 
 def stage_nothing(store: TableStore, name: str) -> Written:
     """An empty staging table: what a run could not stage is not there for its loads."""
     kinds = [kind for kind, table in STAGED.items() if table == name]
-    columns = [f"{kind} struct<body string, error string>" for kind in kinds]
+    columns = [f"{kind} struct<body variant, error string>" for kind in kinds]
     schema = ", ".join(["source_path string", "asset_name string", *columns])
     return {name: store.overwrite(name, store.spark.createDataFrame([], schema))}
 
@@ -89,8 +95,21 @@ def staged(store: TableStore, kind: str) -> tuple[DataFrame, DataFrame]:
     return split_rejects(_staged(store, kind))
 
 
+def keep_counters(store: TableStore, outcomes: DataFrame, run_ts) -> int:
+    """Adds the counters of a run's records, per table and in total, to the table ``load_audit``.
+
+    ``outcomes`` has ``table_name``, ``source_path`` and ``outcome`` of every record read.
+    """
+    return store.append("load_audit", load_audit(outcomes).withColumn("run_time", run_stamp(run_ts)))
+
+
 def staging_audit(store: TableStore) -> DataFrame:
     """Documents read, usable and failed per kind and in total."""
+    return load_audit(staging_outcomes(store))
+
+
+def staging_outcomes(store: TableStore) -> DataFrame:
+    """``table_name, source_path, outcome`` of every staged document."""
     outcomes = [
         _staged(store, kind).select(
             F.lit(kind).alias("table_name"),
@@ -99,7 +118,7 @@ def staging_audit(store: TableStore) -> DataFrame:
         )
         for kind in STAGED
     ]
-    return load_audit(reduce(DataFrame.unionByName, outcomes))
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 def _collapsed(name: str, rows: DataFrame, order_cols: Sequence[str]) -> DataFrame:
@@ -108,7 +127,7 @@ def _collapsed(name: str, rows: DataFrame, order_cols: Sequence[str]) -> DataFra
 
 
 def _batch(store: TableStore, name: str, waves: Sequence[str], run_ts) -> DataFrame:
-    return current_batch(slice_of(store.read(name), "CodOnda", waves), run_ts)
+    return current_batch(slice_of(store.read(name, "node"), "CodOnda", waves), run_ts)
 
 
 def load_file_records(store: TableStore, docs: DataFrame, run_ts, days_back: int = 3) -> Written:
@@ -126,15 +145,15 @@ def load_connections(store: TableStore, docs: DataFrame, mask_password: bool = T
 
 
 def load_content(store: TableStore, docs: DataFrame, run_ts) -> Written:
-    return {"content": store.upsert("content", derive_content(docs, run_ts), ["source_path"])}
+    return {"content": store.upsert("content", derive_content(docs, run_ts, "stored"), ["source_path"])}
 
 
 def load_transformations(store: TableStore, waves: Sequence[str], run_ts) -> Written:
     """History snapshot of the waves, then their slices are replaced from ``content``."""
-    old = slice_of(store.read("transformation"), "CodOnda", waves)
+    old = slice_of(store.read("transformation", "node"), "CodOnda", waves)
     records = store.read("transformation_file_records")
     kept = store.append("transformation_hist", snapshot_history(old, records, rows_unique=True))
-    rows = derive_transformations(_batch(store, "content", waves, run_ts), run_ts)
+    rows = derive_transformations(_batch(store, "content", waves, run_ts), run_ts, "stored")
     new = _collapsed("transformation", rows, ["content_name", "_content", "_pos"])
     return {
         "transformation_hist": kept,
@@ -151,13 +170,19 @@ def load_properties(store: TableStore, kind: str, waves: Sequence[str], run_ts)
 
 
 def load_data_adapters(store: TableStore, waves: Sequence[str], run_ts) -> Written:
-    """Naming anomalies are recorded once each, then the adapters are replaced."""
+    """Naming anomalies are recorded once each, then the adapters are replaced.
+
+    The run's counts of good and bad names and of adapters go to the table ``naming_summary``.
+    """
     parents = _batch(store, "transformation", waves, run_ts)
+    first = F.get(elements_of(F.col("data_adapter")), F.lit(0))
+    has_adapter = F.coalesce(F.try_variant_get(first, "$['$$ID']", "string").isNotNull(), F.lit(False))
+    store.append("naming_summary", naming_summary(parents, has_adapter).withColumn("run_time", run_stamp(run_ts)))
     anomalies = store.insert_new(
         "AnomalyInsightTable", naming_anomalies(parents, run_ts), ["DateIns"]
     )
     name = "transformation_data_adapter"
-    new = _collapsed(name, derive_data_adapters(parents, run_ts), ["content_name"])
+    new = _collapsed(name, derive_data_adapters(parents, run_ts, "stored"), ["content_name"])
     return {
         "AnomalyInsightTable": anomalies,
         name: store.replace_slices(name, new, waves),
@@ -172,12 +197,12 @@ def load_adapter_objects(store: TableStore, waves: Sequence[str], run_ts) -> Wri
 
 
 def load_tasks(store: TableStore, docs: DataFrame, run_ts) -> Written:
-    return {"s_task": store.upsert("s_task", derive_tasks(docs, run_ts), ["source_path"])}
+    return {"s_task": store.upsert("s_task", derive_tasks(docs, run_ts, "stored"), ["source_path"])}
 
 
 def load_task_children(store: TableStore, run_ts) -> Written:
     """Session properties and parameters of the tasks of the newest day, fully reloaded."""
-    tasks = latest_batch(store.read("s_task"))
+    tasks = latest_batch(store.read("s_task", "node"))
     properties = derive_task_properties(tasks, run_ts)
     parameters = derive_task_parameters(tasks, run_ts)
     return {
@@ -188,9 +213,13 @@ def load_task_children(store: TableStore, run_ts) -> Written:
 
 def load_package_contents(store: TableStore, rows: DataFrame, run_ts) -> Written:
     store.overwrite("stage_packages", rows)
-    good, _ = split_rejects(store.read("stage_packages"))
+    staged_rows = store.read("stage_packages")
+    good, _ = split_rejects(staged_rows)
     name = "ContentsofExportPackage"
     contents = derive_package_contents(good, run_ts)
+    kept = F.coalesce(F.col("objectType").isin(PACKAGE_TYPES), F.lit(False))
+    outcome = F.when(F.col("error").isNotNull(), "failed").when(~kept, "ignored").otherwise("written")
+    keep_counters(store, staged_rows.select(F.lit(name).alias("table_name"), "source_path", outcome.alias("outcome")), run_ts)
     return {name: store.upsert(name, contents, ["source_path", "_pos"])}
 
 

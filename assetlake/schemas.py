@@ -12,6 +12,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bool": T.BooleanType(),
     "time": T.TimestampNTZType(),
+    "json": T.VariantType(),
 }
 
 
@@ -19,6 +20,9 @@ _TYPES = {
 class Table:
     """A target table; ``ddl`` lists its columns as ``name[:type]``, string by default.
 
+    ``json`` columns are kept parsed, since child tables are derived from them; they are JSON text
+    to a reader who does not ask for nodes.
+
     ``insert_only`` columns keep the value of the first insert when a key comes again.
     ``slice_by`` names the column by which whole slices of the table are replaced; a table
     that is upserted instead lies in buckets of its first key column (``bucketed``).
@@ -106,15 +110,15 @@ TABLES = {
         Table(
             "content",
             "id class CodOnda CodProcess annotations big_int_convert_type document_type "
-            "eco_system name template_origin links transformations variables " + _STAMPS,
+            "eco_system name template_origin links transformations:json variables " + _STAMPS,
             keys=("id",),
             insert_only=("CodOnda", "CodProcess", "Dt_Inserted"),
         ),
         Table(
             "transformation",
             "id class annotations create_time:time create_time_brazil:time name inputSorted "
-            "advanced_properties _groups session_properties generate_filename_port:bool "
-            "use_labels:bool use_sequence_fields:bool fields data_adapter content_name "
+            "advanced_properties:json _groups session_properties:json generate_filename_port:bool "
+            "use_labels:bool use_sequence_fields:bool fields data_adapter:json content_name "
             + _CODES + " " + _STAMPS,
             keys=("id", "CodOnda", "CodProcess"),
             insert_only=("Dt_Inserted",),
@@ -138,7 +142,7 @@ TABLES = {
             "transformation_data_adapter",
             "id id_transf _class compatible_engine connection_id "
             "exclude_dynamic_file_name_field fw_config_id multiple_object object_type "
-            "type_system use_dynamic_file_name object opr_runtime_attributes read_options "
+            "type_system use_dynamic_file_name object:json opr_runtime_attributes read_options "
             "runtime_attributes content_name " + _CODES + " " + _STAMPS,
             keys=("id", "id_transf", "CodOnda", "CodProcess"),
             insert_only=("Dt_Inserted",),
@@ -160,7 +164,7 @@ TABLES = {
         ),
         Table(
             "s_task",
-            _CODES + " name parameters sessionPropertiesList Dt_Inserted:time Dt_Updated:time",
+            _CODES + " name parameters:json sessionPropertiesList:json Dt_Inserted:time Dt_Updated:time",
             keys=("name",),
             insert_only=("CodOnda", "CodProcess", "Dt_Inserted"),
         ),

@@ -23,12 +23,14 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.merge import collapsed, fresh_rows, held_keys, merged, updated, upsert_table
 from ..schemas import TABLES, Table
 from .scratch import stored
 
 _BUCKET, _VERSION = "key_bucket", "load_version"
+_NODE = T.VariantType()
 _BUCKET_BYTES = 256 << 20  # a table has a bucket for each of these, about
 _MOST_FOLDERS = 64  # a table that is only appended to is written anew beyond so many
 
@@ -128,9 +130,15 @@ class TableStore:
 
     # --- reading
 
-    def read(self, name: str) -> DataFrame:
-        """The table as it is now; an empty frame where it was never written."""
-        return self._read(name, self._state().get(name))
+    def read(self, name: str, nested: str = "text") -> DataFrame:
+        """The table as it is now; an empty frame where it was never written.
+
+        Its ``json`` columns are JSON text, or VARIANT with ``nested="node"``.
+        """
+        frame, table = self._read(name, self._state().get(name)), TABLES.get(name)
+        if nested == "node" or table is None:
+            return frame
+        return frame.select(*[F.to_json(c).alias(c) if table.schema[c].dataType == _NODE else c for c in table.columns])
 
     def _read(self, name: str, known: dict | None) -> DataFrame:
         table = TABLES.get(name)
@@ -145,13 +153,29 @@ class TableStore:
     # --- writing
 
     @staticmethod
-    def _typed(table: Table, rows: DataFrame) -> DataFrame:
-        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+    def _typed(table: Table, rows: DataFrame) -> list[Column]:
+        """The table's columns with its types; JSON text is parsed for a node, a node is text for a text column."""
+
+        def typed(field: T.StructField) -> Column:
+            value, given = F.col(field.name), rows.schema[field.name].dataType
+            if field.dataType == _NODE:
+                value = value if given == _NODE else F.try_parse_json(value)
+            elif given == _NODE:
+                value = F.to_json(value)
+            else:
+                value = value.cast(field.dataType)
+            return value.alias(field.name)
+
+        return [typed(f) for f in table.schema]
+
+    def _typed_batch(self, table: Table, updates: DataFrame) -> DataFrame:
+        """Updates with the table's types, and the columns that tell their order."""
+        return updates.select(*self._typed(table, updates), *[c for c in updates.columns if c not in table.columns])
 
     def _write(self, name: str, rows: DataFrame, buckets: int | None = None) -> tuple[list[list], int]:
         """Writes rows to a new folder; gives its parts and the number of rows."""
         table = TABLES.get(name)
-        rows = self._typed(table, rows) if table else rows
+        rows = rows.select(*self._typed(table, rows)) if table else rows
         with self._lock:
             self._folders += 1
             version = f"v{self._number}-{self._folders}"
@@ -201,15 +225,15 @@ class TableStore:
     def insert_new(self, name: str, updates: DataFrame, order_cols: Sequence[str] | None) -> int:
         """Appends the rows whose key is new; the table itself is not rewritten."""
         table = TABLES[name]
-        return self.append(name, fresh_rows(self.read(name), updates, table.keys, order_cols))
+        return self.append(name, fresh_rows(self.read(name, "node"), updates, table.keys, order_cols))
 
     def upsert(self, name: str, updates: DataFrame, order_cols: Sequence[str]) -> int:
         """Keyed upsert by the table's keys; gives the rows of the buckets it rewrote."""
         table = TABLES[name]
         if not table.bucketed:
-            return self.overwrite(name, upsert_table(self.read(name), updates, table, order_cols))
+            return self.overwrite(name, upsert_table(self.read(name, "node"), self._typed_batch(table, updates), table, order_cols))
         # one row per key, read for its buckets and for its rows
-        batch = stored(collapsed(updates, table, order_cols), "batch")
+        batch = stored(collapsed(self._typed_batch(table, updates), table, order_cols), "batch")
         keys = batch.select(F.col("_key")[table.keys[0]].alias(table.keys[0]))
         return self.rewrite(name, keys, lambda old: self._merged(old, batch, table))
 

@@ -122,7 +122,7 @@ def test_a_small_batch_is_merged_without_a_shuffle_of_the_table(spark, tmp_path,
 
     def rows(pairs):
         made = spark.createDataFrame(pairs, "id string, class string, name string, CodOnda string")
-        return made.select(*[F.col(c) if c in made.columns else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.columns])
+        return made.select(*[F.col(c) if c in made.columns else F.lit(None).cast("timestamp_ntz" if c.startswith("Dt") else "string").alias(c) for c in table.columns])
 
     old = rows([(f"M{i}", "1", "old", "684") for i in range(50)] + [(None, "1", "no id", "1")])
     store.upsert("content", old, order)
@@ -145,3 +145,33 @@ def test_a_small_batch_is_merged_without_a_shuffle_of_the_table(spark, tmp_path,
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "FullOuter" in plans[1] and rows_of(store.read("content")) == expected
+
+
+def test_documents_are_parsed_once_from_staging_to_adapter_objects(spark, tmp_path, monkeypatch):
+    from assetlake.plans.derived import RUN_TS, WAVES, mapping_documents
+
+    store = TableStore(spark, str(tmp_path))
+    docs = mapping_documents(spark, "/root/testdata/sf0.001")
+    member = F.struct("body", F.lit(None).cast("string").alias("error"))
+    packages = docs.select("source_path", F.lit("a").alias("asset_name"), member.alias("maps"), member.alias("file_records"))
+    plans, write = {}, TableStore._write
+
+    def seen(self, name, rows, *more):
+        plans.setdefault(name, []).append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, name, rows, *more)
+
+    monkeypatch.setattr(TableStore, "_write", seen)
+    jobs.stage_packages(store, "stage_mappings", packages.repartition(2))
+    jobs.load_content(store, jobs.staged(store, "maps")[0], RUN_TS)
+    jobs.load_transformations(store, WAVES, RUN_TS)
+    for kind in ("session", "advanced"):
+        jobs.load_properties(store, kind, WAVES, RUN_TS)
+    jobs.load_data_adapters(store, WAVES, RUN_TS)
+    jobs.load_adapter_objects(store, WAVES, RUN_TS)
+    assert plans["stage_mappings"][0].count("parse_json") + plans["stage_mappings"][0].count("parseJson") == 2  # one for each member
+    later = [plan for name, made in plans.items() if name != "stage_mappings" for plan in made]
+    assert len(later) >= 7
+    assert not any("concat([" in plan or "parseJson(body" in plan or "parseJson(transformations" in plan for plan in later)
+    assert store.read("transformation_data_adapter_object").count() > 100
+    assert store.read("transformation").schema["session_properties"].dataType.typeName() == "string"
+    assert store.read("transformation", "node").schema["session_properties"].dataType.typeName() == "variant"
