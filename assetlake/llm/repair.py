@@ -170,7 +170,8 @@ def diagnosed(rows: DataFrame) -> DataFrame:
 def summary(messages: DataFrame) -> DataFrame:
     """Faults, gaps in the turns and the first and last place of each conversation."""
     span = F.max("turn").cast("decimal(38,0)") - F.min("turn") + 1 - F.count_distinct("turn")
-    gaps = F.least(span, F.lit((1 << 63) - 1).cast("decimal(38,0)")).cast("long")
+    most = F.lit((1 << 63) - 1).cast("decimal(38,0)")
+    gaps = F.when(span > most, most).otherwise(span).cast("long")  # null without a turn
     counts = [F.count(F.when(F.col("fault") == f, 1)).alias(f) for f in ("blank", "duplicate", "truncated")]
     bounds = [F.min("place").alias("first"), F.max("place").alias("last")]
     return messages.groupBy("conv_id").agg(F.coalesce(gaps, F.lit(0)).alias("gaps"), *counts, *bounds)
