@@ -1,5 +1,6 @@
 """Toxicity, seeds, quotations, pages, fingerprints and token counts."""
 
+import itertools
 import random
 
 import numpy as np
@@ -63,6 +64,52 @@ def test_joined_clean_texts_stay_clean(spark, toxic_world):
     assert {r["doc_id"]: r["_toxicity"] >= 0.5 for r in scores.collect()} == {0: False, 1: False, 2: True, 3: True}
 
 
+def test_viterbi_finds_what_trying_every_path_finds(toxic_world):
+    costs = toxic_world[2]
+    decoder, rng = toxicity.Decoder(costs), random.Random(6)
+    border = toxicity.BORDER
+
+    def price(options, chosen):
+        total, text = 0.0, ""
+        for readings, k in zip(options, chosen, strict=True):
+            total, text = total + readings[k][0], text + readings[k][1]
+        codes = [border] * 3 + [int(toxicity.codes_of(c)[0]) for c in text + " "]
+        for at in range(3, len(codes)):
+            gram = ((codes[at - 3] * 28 + codes[at - 2]) * 28 + codes[at - 1]) * 28 + codes[at]
+            total += float(costs[gram])
+        return total, text
+
+    for _ in range(40):
+        signs = [rng.choice("l0s3r1d10t$@aab!") for _ in range(rng.randrange(2, 6))]
+        options = [decoder.readings(c, rng.choice([1, 1, 2, 3]), rng.random() < 0.5) for c in signs]
+        paths = itertools.product(*[range(len(o)) for o in options])
+        found = [price(options, p) for p in paths]
+        best = min(found)[0]
+        assert decoder.best(options) in {text for total, text in found if total <= best + 1e-4}
+
+
+def test_equal_rows_are_one_row_with_a_weight(spark, toxic_world, monkeypatch):
+    docs, marks, costs = toxic_world
+    many = docs.union(docs.where("doc_id = 8").withColumn("doc_id", F.explode(F.array_repeat("doc_id", 299))))
+    kept = []
+    monkeypatch.setattr(toxicity, "stored", lambda frame, name, put=toxicity.stored: kept.append((name, put(frame, name))) or kept[-1][1])
+    weights, _ = toxicity.learn(many, marks, costs, F.lit(True), max_features=50)
+    rows = dict(kept)["labelled"].where("first")
+    assert rows.count() == 600 and rows.where("times = 300").count() == 1
+    assert 0 < len(weights) <= 50 and {"idiot$", "loser$"} & set(weights)
+    assert toxicity.learn(docs, marks, costs, F.lit(True), max_features=50)[0].keys() & {"idiot$", "loser$"}
+
+
+def test_counts_of_four_signs(spark):
+    texts = ["ab", "é!", None, "", "a  b", "x" * 70]
+    got = toxicity.character_counts(spark.createDataFrame(enumerate(texts), DOC))
+    letters = got.reshape(28, 28, 28, 28)
+    a, b, x, e, other, border = 0, 1, 23, 4, toxicity.OTHER, toxicity.BORDER
+    assert letters[border, border, border, a] == 2 and letters[border, border, a, b] == 1
+    assert letters[border, border, e, other] == 1 and letters[x, x, x, x] == 67 and letters[a, border, border, b] == 1
+    assert not letters[:, :, b, e].sum()  # no gram goes from one text to the next
+
+
 def test_labels_of_one_kind_or_none(spark, toxic_world):
     docs = toxic_world[0].limit(5)
     none = toxicity.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
