@@ -190,7 +190,7 @@ _DAILY = {
 
 
 @query(
-    "daily_run",
+    "job_daily_run",
     " UNION ALL ".join(_keyed(name, f"SELECT * FROM ({CHECKS[check]}) {where}", columns) for name, (check, columns, where) in _DAILY.items()),
 )
 def _(spark, sf):
