@@ -8,8 +8,14 @@ n + t log t steps, and the share of equal coordinates is concentrated about the
 similarity like that of as many independent minima.
 
 Documents whose bands agree are candidates.  Each is compared with one leader of its bucket, on
-full sets; a bucket left in several components gets other leaders for STAR_ROUNDS turns, and what
-is then apart is searched by an exact prefix join (rarest shingles first).  So no bucket is multiplied out and no partner is capped.
+full sets.  What is then apart is searched through the rarest shingles of each set, as many as an
+exact join needs.  Joining all pairs that share one would take the square of a large group of near
+copies, so it goes in rounds: in each, every set is compared with one leader of each of its shingles
+(another one in each round) that is in another component, the confirmed links contract the components, and shingles held by one
+component only fall away.  Rounds end when the pairs still apart are no more than PAIRS_A_ROW for each
+row of the index, or when a round leaves most of them; only then are the pairs left joined, without
+those refuted before.  Links are kept between components, one for each pair of them.
+So no bucket is multiplied out, no partner is capped, and the result is that of comparing all pairs.
 
 Edge cases: a text with fewer words than a shingle is one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component; rows with equal sets are linked
@@ -33,7 +39,8 @@ from .components import components
 from .words import WordHashes, blocks, mixed, set_key, shingle_set, word_hashes
 
 BANDS, ROWS = 16, 4  # at a similarity of 0.85 a pair is missed with 8 in a million, at 0.8 with 2 in 10,000
-STAR_ROUNDS = 1  # how often a bucket gets another leader before the prefix join takes what is left
+SLOW = 0.7  # a round that leaves a larger share of the pairs apart is the last but one
+PAIRS_A_ROW = 2  # so many pairs for each row of the index of rare shingles are joined at once
 WEIGHT_BUCKETS = 1 << 18
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -193,34 +200,42 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = stored(nodes, "nodes")
     sizes = nodes.select("node", F.col("n_shingles").alias("size"), "bits")
     buckets = stored(nodes.select("node", F.explode("bands").alias("bucket")), "buckets")
-    links, rest = None, buckets.withColumn("component", F.col("node"))
-    for turn in range(STAR_ROUNDS):
-        pairs = _star(rest, turn).join(_side(sizes, "a"), "a").join(_side(sizes, "b"), "b")
-        pairs = stored(pairs.where(alike("size_a", "size_b", "bits_a", "bits_b", percent)).select("a", "b"), "pairs")
-        found = stored(confirmed(pairs, _texts(docs, signed, pairs), width, percent), "links")
-        links = found if links is None else links.union(found)
-        known = components(links, "stars")
-        # buckets that a round leaves in several components go to the next one
-        of_node = buckets.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_buckets = (
-            of_node.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        )
-        rest = stored(of_node.join(open_buckets.select("bucket"), "bucket", "left_semi"), "rest")
-    rest = rest.select("node", "component").distinct()
-    texts = stored(_texts(docs, signed, rest.select(F.col("node").alias("a"), F.col("node").alias("b"))).join(rest, "node"), "rest_texts")
+    pairs = _star(buckets.withColumn("component", F.col("node")), "bucket", 0)
+    pairs = stored(_close(pairs, sizes, percent), "pairs")
+    links = stored(confirmed(pairs, _texts(docs, signed, pairs), width, percent), "links")
+    known = stored(components(links, "stars"), "known")
+    # the nodes of buckets in several components are searched through their rarest shingles
+    of_node = buckets.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = of_node.join(_open(of_node, "bucket"), "bucket", "left_semi").select("node", "component").distinct()
+    rest = stored(rest, "rest")
+    texts = _texts(docs, signed, rest.select(F.col("node").alias("a"), F.col("node").alias("b"))).join(rest, "node")
+    texts = stored(texts, "rest_texts")
     index = stored(prefixes(texts, width, percent), "prefixes")
-    shared = index.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    index = index.join(shared.select("shingle"), "shingle", "left_semi").join(sizes, "node")
-    one, two = (index.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size", "bits")]) for x in "ab")
-    apart = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-    close = (one["shingle"] == two["shingle"]) & apart & alike("size_a", "size_b", "bits_a", "bits_b", percent)
-    again = one.join(two, close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    again = stored(again, "pairs")
-    links = links.union(stored(confirmed(again, texts.select("node", "text"), width, percent), "links"))
-    last = components(links, "components")
-    rows = signed.join(last, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits")
+    texts, tried, turn, before = texts.select("node", "text"), pairs, 0, None
+    while True:
+        # the shingles are stored before, so that the join deals the rows anew and a hot one can be split
+        index = stored(index.join(stored(_open(index, "shingle"), "shingles"), "shingle", "left_semi"), "open")
+        rows, apart = _apart(index)
+        last_turn = apart <= PAIRS_A_ROW * rows or before is not None and apart > SLOW * before
+        pairs = _pairs(index, sizes, percent) if last_turn else _close(_star(index, "shingle", turn := turn + 1), sizes, percent)
+        # a refuted pair is not compared again
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = stored(confirmed(pairs, texts, width, percent), "links")
+        # one link for each pair of components, and the components joined by these
+        places = index.select("node", "component").distinct()
+        a, b = (places.toDF(f"node_{x}", x) for x in ("u", "v"))
+        between = found.join(a, found["a"] == a["node_u"]).join(b, found["b"] == b["node_v"])
+        between = between.select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+        joined = stored(components(between, "contracted").toDF("_of", "_to"), "joined")
+        # a node alone so far is a component of its own name
+        known = _moved(known, joined, "component").union(joined).distinct()
+        known = stored(known.toDF("node", "component"), "known")
+        if last_turn:
+            break
+        index, tried, before = _moved(index, joined, "component"), tried.union(pairs), apart
+    rows = signed.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("bands", "bits")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")  # rows without an id come last
-    least = rows.where("component is not null").groupBy("component").agg(F.min(place).alias("least"))
+    least = stored(rows.where("component is not null").groupBy("component").agg(F.min(place).alias("least")), "least")
     alone = F.col("component").isNull()
     is_least = place.eqNullSafe(F.col("least"))
     return rows.join(least, "component", "left").select(
@@ -236,12 +251,55 @@ def _side(sizes: DataFrame, name: str) -> DataFrame:
     return sizes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
 
 
-def _star(buckets: DataFrame, turn: int) -> DataFrame:
-    """Each node paired with one node of its bucket, another in each turn, if their components differ."""
+def _star(rows: DataFrame, group: str, turn: int) -> DataFrame:
+    """(a, b), a < b: each node with one node of its group, another in each turn, if their components differ."""
     leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("leader")
-    leaders = buckets.groupBy("bucket").agg(leader)
-    pairs = buckets.join(leaders, "bucket").where("component <> leader.component")
-    return pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct()
+    # stored, so that the join deals the rows anew and a hot group can be split
+    leaders = stored(rows.groupBy(group).agg(leader), "leaders")
+    pairs = rows.join(leaders, group).where("component <> leader.component")
+    return _ordered(pairs.select("node", F.col("leader.node").alias("other")))
+
+
+def _pairs(index: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: the nodes of two components that share a shingle and that sizes and bitmaps don't rule out.
+
+    The bitmaps are compared inside the join, so it gives few rows also for large groups of unlike sets.
+    """
+    held = index.join(sizes, "node")
+    one, two = (held.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size", "bits")]) for x in "ab")
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+    close = (one["shingle"] == two["shingle"]) & apart & alike("size_a", "size_b", "bits_a", "bits_b", percent)
+    return one.join(two, close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _close(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sizes and bitmaps don't rule out."""
+    both = pairs.join(_side(sizes, "a"), "a").join(_side(sizes, "b"), "b")
+    return both.where(alike("size_a", "size_b", "bits_a", "bits_b", percent)).select("a", "b")
+
+
+def _open(rows: DataFrame, group: str) -> DataFrame:
+    """The groups that are held by several components."""
+    held = rows.groupBy(group).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return held.where("lo <> hi").select(group)
+
+
+def _apart(index: DataFrame) -> tuple[int, float]:
+    """The rows of the index, and how many pairs of two components its shingles hold, counted at each shingle."""
+    held = index.groupBy("shingle", "component").agg(F.count("node").cast("double").alias("n"))
+    held = held.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    rows, pairs = held.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
+    return int(rows or 0), pairs or 0.0
+
+
+def _moved(rows: DataFrame, joined: DataFrame, column: str) -> DataFrame:
+    """The rows with the components that theirs have become part of."""
+    moved = rows.join(joined, rows[column] == joined["_of"], "left")
+    return moved.withColumn(column, F.coalesce("_to", column)).drop("_of", "_to")
 
 
 def _texts(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -79,6 +79,29 @@ def test_what_leaders_miss_is_found_by_prefixes(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_candidates_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    """Near copies of one text, about half of whose pairs are near enough: rounds, not all pairs."""
+    made = {}
+    real = fast_sketch.stored
+    monkeypatch.setattr(fast_sketch, "stored", lambda frame, name: made.setdefault(name, []).append(real(frame, name)) or made[name][-1])
+    counts = {}
+    for n in (300, 1200):
+        made.clear()
+        rng = random.Random(9)
+        words = words_of(rng, 200)
+        rows = []
+        for i in range(n):
+            copy = list(words)
+            for _ in range(rng.randrange(3, 9)):
+                copy[rng.randrange(len(copy))] = "y%d" % rng.randrange(40)
+            rows.append((i, " ".join(copy)))
+        got = fast_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+        if n == 300:
+            assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute(rows, 3, 85), key=repr)
+        counts[n] = sum(frame.count() for frame in made["pairs"])
+    assert counts[1200] < 10 * max(counts[300], 300) and counts[1200] < 1200 * 1199 / 20
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d"), (None, "a b c d"), (7, "a b c d"), (7, "a b c d"), (None, "else where now"), (8, None)]
     got = fast_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
