@@ -12,6 +12,7 @@ from assetlake.plans import jobs
 from assetlake.schemas import TABLES
 from assetlake.sources import archives
 from assetlake.sources.documents import scan_json_documents, scan_package_csv
+from assetlake.sources.files import binary_files
 from assetlake.sources.paths import asset_paths, project_folders, with_path_columns
 from assetlake.sources.sheets import scan_sheet, sheet_frame
 from assetlake.sources.store import TableStore
@@ -314,3 +315,29 @@ def test_a_package_gives_all_its_members_at_once(spark, tmp_path):
     assert rows_of(got, "asset_name", "maps.body", "file_records.body", "file_records.error") == [
         ("a", "map", "records", None), ("b", "only", None, "member not found")
     ]
+
+
+def test_folders_are_listed_and_files_read_in_tasks(spark, tmp_path):
+    """The plan of a scan knows no file names, yet finds the files that Spark's own scan finds."""
+    names = ["a b.json", "c%20d.json", "x#y.json", "k=1,[é.json", "_hidden.json", ".h.json", "other.txt"]
+    for name in names:
+        (tmp_path / name).write_text("{}")
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "bytes.json").write_bytes(b"\xff{}")
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "z.json").write_text("{}")
+    got = scan_json_documents(spark, str(tmp_path))
+    assert not [f for f in got.inputFiles() if f.endswith(".json")]
+    by_spark = spark.read.text(str(tmp_path), wholetext=True, pathGlobFilter="*.json")
+    by_spark = by_spark.selectExpr("_metadata.file_path", "hex(value)")
+    assert rows_of(got.selectExpr("source_path", "hex(body)")) == rows_of(by_spark)
+    files = binary_files(spark, str(tmp_path), "*.json")
+    assert not [f for f in files.inputFiles() if f.endswith(".json")]
+    by_spark = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(str(tmp_path))
+    assert rows_of(files.selectExpr("path", "hex(content)")) == rows_of(by_spark.selectExpr("path", "hex(content)"))
+
+
+def test_a_pattern_is_left_to_sparks_scan(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text("{}")
+    assert scan_json_documents(spark, f"{tmp_path}/*").count() == 1
