@@ -4,13 +4,14 @@ All pages of a host are merged into one tree: a node is a path of elements with
 For each node with text the importance of its content is the entropy of its texts over the
 host's pages (0 if every page shows the same, 1 if none repeats), lessened by the share of link
 text; the importance of its presentation is the entropy of the child elements its parent shows.
-Branches in which both are below ``threshold`` are noise and leave every page of the host.
+Branches in which both are below ``threshold`` are noise and leave every page of the host, also
+those inside an article.  A site may publish one article, or a whole page, many times: an article
+counts once in the nodes below it, and equal pages count once in the others.  A node that fewer than
+``min_pages`` such pages show tells nothing and is kept.
 
-Elements whose very kind says that they are not the article (menus, footers, scripts, adverts by
-class, reader comments ...) have no importance, and an article element keeps its own, since a
-site may publish one article many times.  So the statistics decide where the markup says
-nothing: on pages without an article or main element.  A host of fewer than ``min_pages`` pages
-tells nothing, its unmarked nodes are kept.
+After the tree comes a check of what the markup itself says: elements whose very kind is not the
+article (menus, footers, scripts, adverts by class, reader comments ...) leave too, since a site may
+show other ones on each page, and where there is an article or main element the rest leaves.
 
 Only hashes of texts are gathered, per host and node, by partial counts; the noisy nodes go back
 to the pages by a broadcast if they are at most BROADCAST_ROWS (checked by a count), else by a join.
@@ -161,11 +162,14 @@ def _close(stack: list[tuple], tag: str) -> None:
 
 def main_text(page: str | None, noisy: frozenset[int] | set[int] = frozenset()) -> str:
     """The article of a page, without the branches whose nodes are in ``noisy``."""
-    kept = [b for b in read_page(page)[0] if not b.noise]
-    marked = [b for b in kept if b.article] or [b for b in kept if b.main]
-    if not marked:
-        marked = [b for b in kept if node_key(b.path) not in noisy]
-    return "\n".join(t for t in (b.text() for b in marked) if t)
+    kept = [b for b in _article(read_page(page)[0]) if node_key(b.path) not in noisy]
+    return "\n".join(t for t in (b.text() for b in kept) if t)
+
+
+def _article(found: list[Block]) -> list[Block]:
+    """The blocks that the markup allows: those of an article, else of a main element, else all that are no noise."""
+    allowed = [b for b in found if not b.noise]
+    return [b for b in allowed if b.article] or [b for b in allowed if b.main] or allowed
 
 
 def node_key(path: str) -> int:
@@ -173,38 +177,58 @@ def node_key(path: str) -> int:
 
 
 def style_tree(pages: DataFrame, host: str = "host") -> DataFrame:
-    """host, node, pages, content and presentation (importances) of every node outside article and noise elements."""
+    """host, node, pages, content and presentation (importances) of every node with text."""
+
+    def rows_of(name: str | None, html: str | None) -> Iterator[tuple]:
+        found, children = read_page(html)
+        said = [(b, b.text()) for b in found]
+        marked = {id(b) for b in _article(found) if b.article or b.main}
+        whole = node_key(html or "")
+        article = node_key("\n".join(text for b, text in said if id(b) in marked))
+        texts: dict[tuple[int, int], list[int]] = {}  # a text counts once on a page
+        shown_by: dict[int, int] = {}  # node or parent: the article or page that shows it
+        for b, text in said:
+            if text:
+                node, parent, page = node_key(b.path), node_key(b.path.rpartition("/")[0]), article if id(b) in marked else whole
+                seen = texts.setdefault((node, node_key(text)), [parent, 0, len(text)])
+                seen[1] = max(seen[1], b.links)
+                shown_by.setdefault(node, page)
+                if page == article:
+                    shown_by[parent] = page
+                shown_by.setdefault(parent, page)
+        parents = {v[0] for v in texts.values()}
+        for (node, text), (parent, links, chars) in texts.items():
+            yield name, node, parent, 0, text, shown_by[node], links, chars
+        for path, names in children.items():
+            if (node := node_key(path)) in parents:
+                yield name, node, 0, 1, node_key(" ".join(names)), shown_by[node], 0, 0
 
     def shown(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "html"):
-            rows = []
-            for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found, children = read_page(page)
-                for b in found:
-                    text = "" if b.noise or b.article else b.text()
-                    if text:
-                        rows.append((name, node_key(b.path), node_key(b.path.rpartition("/")[0]), 0, node_key(text), b.links, len(text)))
-                parents = {r[2] for r in rows}
-                keys = ((node_key(p), c) for p, c in children.items())
-                rows += [(name, k, 0, 1, node_key(" ".join(c)), 0, 0) for k, c in keys if k in parents]
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            rows = [r for page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in rows_of(*page)]
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    schema = "host string, node long, parent long, kind int, shown long, links long, chars long"
+    schema = "host string, node long, parent long, kind int, shown long, page long, links long, chars long"
     names = [c.split()[0] for c in schema.split(", ")]
     seen = pages.select(F.col(host).alias("host"), "html").mapInArrow(shown, schema)
-    counts = seen.groupBy("host", "node", "kind", "shown").agg(
+    once = seen.groupBy("host", "node", "kind", "shown", "page").agg(
+        F.max("parent").alias("parent"), F.max("links").alias("links"), F.max("chars").alias("chars")
+    )
+    once = stored(once, "shown")
+    showing = once.select("host", "node", "kind", "page").distinct().groupBy("host", "node", "kind").agg(F.count(F.lit(1)).alias("pages"))
+    counts = once.groupBy("host", "node", "kind", "shown").agg(
         F.count(F.lit(1)).alias("n"), F.max("parent").alias("parent"), F.sum("links").alias("links"), F.sum("chars").alias("chars")
     )
     total = F.sum("n")
     entropy = F.when(total <= 1, 1.0).otherwise(1 - F.sum(F.col("n") * F.log2("n")) / total / F.log2(total))
     nodes = counts.groupBy("host", "node", "kind").agg(
-        total.alias("pages"),
         F.max("parent").alias("parent"),
         (entropy * (1 - F.coalesce(F.try_divide(F.sum("links"), F.sum("chars")), F.lit(0.0)))).alias("importance"),
     )
-    nodes = stored(nodes, "style_tree")
+    same = nodes["host"].eqNullSafe(showing["host"]) & (nodes["node"] == showing["node"]) & (nodes["kind"] == showing["kind"])
+    nodes = stored(nodes.join(showing, same).select(*[nodes[c] for c in nodes.columns], "pages"), "style_tree")
     style = nodes.where("kind = 1").select("host", F.col("node").alias("parent"), F.col("importance").alias("presentation"))
     content = nodes.where("kind = 0").select("host", "node", "parent", "pages", F.col("importance").alias("content"))
     same = content["host"].eqNullSafe(style["host"]) & (content["parent"] == style["parent"])

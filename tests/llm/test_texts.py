@@ -208,6 +208,18 @@ def test_main_text():
     assert style_tree.main_text("<article><p>cut in a tag <b class=") == "cut in a tag"
 
 
+def test_the_tree_decides_inside_articles_too(spark):
+    page = "<body><div class='x{}'>menu</div><article><h1>T{}</h1><p>text {}</p><p class='legal'>All rights reserved</p></article></body>"
+    rows = [(i, "http://a.x/", page.format(i, i, i)) for i in range(6)]
+    copies = [(100 + i, "http://b.x/", page.format(i, 1, 1)) for i in range(9)]  # one article below nine menus
+    lines = [(200 + i, "http://c.x/", "<article>" + "<p>same</p>" * 9 + "</article>") for i in range(5)]
+    frame = spark.createDataFrame(rows + copies + lines, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in style_tree.extract(frame).collect()}
+    assert [got[i] for i in range(6)] == [f"T{i}\ntext {i}" for i in range(6)]
+    assert {got[100 + i] for i in range(9)} == {"T1\ntext 1\nAll rights reserved"}
+    assert {got[200 + i] for i in range(5)} == {"\n".join(["same"] * 9)}
+
+
 def test_branches_that_every_page_shows_are_noise(spark):
     def page(i):
         return f"<body><div><p>Welcome to our site</p></div><section><p>Story {i} of {i * 7}</p><p>More {i}</p></section>"
