@@ -10,7 +10,7 @@ from assetlake.operators.taskflows import TASKFLOW_ORDER, shred_taskflows
 from assetlake.operators.merge import upsert_table
 from assetlake.plans import jobs
 from assetlake.schemas import TABLES
-from assetlake.sources import archives
+from assetlake.sources import archives, documents
 from assetlake.sources.documents import scan_json_documents, scan_package_csv
 from assetlake.sources.files import binary_files
 from assetlake.sources.paths import asset_paths, project_folders, with_path_columns
@@ -341,3 +341,13 @@ def test_a_pattern_is_left_to_sparks_scan(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.json").write_text("{}")
     assert scan_json_documents(spark, f"{tmp_path}/*").count() == 1
+
+
+def test_lists_are_read_without_listing_what_lies_below(spark, tmp_path, monkeypatch):
+    (tmp_path / "l.csv").write_text("id,objectPath,objectName,objectType\n1,/a,n,MTT\n")
+    (tmp_path / "Explore").mkdir()
+    asked = []
+    read = documents._list_files
+    monkeypatch.setattr(documents, "_list_files", lambda spark, paths: asked.append(paths) or read(spark, paths))
+    assert rows_of(scan_package_csv(spark, [str(tmp_path)]), "id", "objectName") == [("1", "n")]
+    assert asked == [[f"file:{tmp_path}/l.csv"]]
