@@ -91,3 +91,9 @@ def test_no_cross_join_in_any_query(spark):
             continue  # these run their jobs at once
         plan = plan_of(run(spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_queries_keep_generated_methods_short_enough_to_be_compiled(spark):
+    session = spark.newSession()
+    QUERIES["transformations"](session, "/root/testdata/sf0.001")
+    assert session.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
