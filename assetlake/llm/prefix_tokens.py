@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,12 @@ SIMPLE = regex.compile(r"[\x00-įı-ɏ]*+")  # NFC keeps these, lower case is on
 BLANKS = regex.compile(r"\p{White_Space}+")
 
 
+# of the letters of a started word: tokens and last token, tokens if the word ends here, and where the
+# longest of its ends starts that begins a token
+State = tuple[int, str, int, int]
+FIRST_STATE: State = (0, "", 0, 0)
+
+
 def byte_letters() -> list[str]:
     """The printable stand-in of each byte: itself if it is one, else the next letter from U+0100."""
     printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -64,14 +71,16 @@ class PrefixCounter:
             self.made.setdefault(left + right, (rank, left, right))
         if len(self.made) != len(names):
             raise ValueError("tokens with two merges are not handled")
-        self.longest = max(map(len, self.vocabulary))
+        # the letters of the tokens that end words, and all beginnings of tokens
+        self.closed = {t[: -len(END)]: t for t in self.vocabulary if t.endswith(END)}
+        self.beginnings = {t[:n] for t in [*self.vocabulary, *self.closed] for n in range(len(t) + 1)}
         self.letters = byte_letters()
         pattern = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word = regex.compile(pattern)
         self.pieces = regex.compile(f"({pattern})")
         added = sorted((t["content"] for t in content["added_tokens"]), key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self.states: dict[str, tuple[int, str, int]] = {"": (0, "", 0)}
+        self.states: dict[str, State] = {"": FIRST_STATE}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words = _Steps(self)
 
@@ -123,29 +132,54 @@ class PrefixCounter:
             else:
                 return True
 
-    def _last(self, word: str, end: str) -> tuple[int, str]:
-        """(tokens, last token) of the letters ``word`` closed by ``end``; its shorter prefixes are known."""
-        vocabulary, states, pairs = self.vocabulary, self.states, self.pairs
-        for start in range(max(0, len(word) - self.longest), len(word)):
-            token = word[start:] + end
-            if token in vocabulary:
-                before = states[word[:start]]
-                known = pairs.get((before[1], token))
-                if self.fits(before[1], token) if known is None else known:
-                    return before[0] + 1, token
+    def _state(self, word: str) -> State:
+        """The state after the letters ``word``; its shorter prefixes are known.
+
+        A token that ends here starts where the longest end that begins a token starts, or later, and
+        that place never goes back as letters are added.
+        """
+        vocabulary, closed, states, pairs = self.vocabulary, self.closed, self.states, self.pairs
+        start, beginnings = states[word[:-1]][3], self.beginnings
+        while word[start:] not in beginnings:
+            start += 1
+        reach, tokens, last, ended = start, 0, "", 0
+        for start in range(reach, len(word)):
+            token = word[start:]
+            if not tokens and token in vocabulary:
+                count, left, _, _ = states[word[:start]]
+                known = pairs.get((left, token))
+                if self.fits(left, token) if known is None else known:
+                    tokens, last = count + 1, token
+            if not ended and token in closed:
+                token = closed[token]
+                count, left, _, _ = states[word[:start]]
+                known = pairs.get((left, token))
+                if self.fits(left, token) if known is None else known:
+                    ended = count + 1
+            if tokens and ended:
+                return tokens, last, ended, reach
         raise ValueError(f"no token ends {word!r}")
 
     def in_word(self, word: str) -> list[int]:
         """Tokens of each prefix (by code points) of one pre-token."""
-        counts, letters, spelt = [], self.letters, ""
         if len(self.states) >= KEPT_STATES:
-            self.states = {"": (0, "", 0)}
-        for char in word:
-            for byte in char.encode("utf-8", "surrogatepass"):
-                spelt += letters[byte]
-                if spelt not in self.states:
-                    self.states[spelt] = (*self._last(spelt, ""), self._last(spelt, END)[0])
-            counts.append(self.states[spelt][2])
+            self.states = {"": FIRST_STATE}
+        states, letters = self.states, self.letters
+        if word.isascii():
+            spelt, ends = "".join([letters[ord(c)] for c in word]), range(1, len(word) + 1)
+        else:
+            encoded = [c.encode("utf-8", "surrogatepass") for c in word]
+            spelt = "".join([letters[byte] for c in encoded for byte in c])
+            ends = accumulate(map(len, encoded))
+        counts, at = [], 0
+        for end in ends:
+            for n in range(at + 1, end + 1):
+                prefix = spelt[:n]
+                state = states.get(prefix)
+                if state is None:
+                    state = states[prefix] = self._state(prefix)
+            counts.append(state[2])
+            at = end
         return counts
 
     def steps(self, piece: str) -> bytes:

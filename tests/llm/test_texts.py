@@ -296,3 +296,18 @@ def test_questions_answered_from_prefixes(spark):
         text = rows[r["doc_id"]][1] or ""
         longest = max(i for i in range(len(text) + 1) if count(text[:i]) <= 7)
         assert tuple(r)[1:] == (len(text.encode()), count(text), count(text[:9]), longest)
+
+
+def test_a_letter_costs_few_lookups():
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, token):
+            Counted.asked += 1
+            return super().__contains__(token)
+
+    counter = prefix_tokens.PrefixCounter(PATH)
+    counter.vocabulary = Counted(counter.vocabulary)
+    word = "qzxvkjwqxzvjkqwzxjvkqzwxjkvqzxwjvkqx"
+    assert counter.in_word(word) == [len(counter.library.encode(word[:n], add_special_tokens=False)) for n in range(1, len(word) + 1)]
+    assert Counted.asked < 8 * len(word)
