@@ -263,7 +263,9 @@ def _(spark, sf):
       LEFT JOIN customer ON c_custkey = o_custkey % 50 AND c_custkey % 10 < 8""",
 )
 def _(spark, sf):
-    content = _content(spark, sf)
+    # parsed once for its own rows and for what is un-nested from it
+    content = _content(spark, sf).select("id", "name", "CodOnda", "CodProcess", "transformations")
+    content = stored(content, "content")
     transformations = stored(
         derive_transformations(content, RUN_TS, "node").select(
             "id", "name", "content_name", "CodOnda", "CodProcess", "create_time_brazil",

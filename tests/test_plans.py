@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from assetlake.operators.history import latest_batch
 from assetlake.operators.merge import doomed_keys, upsert, without_keys
+from assetlake.plans import document_queries
 from assetlake.plans.catalog import QUERIES
+from assetlake.plans.derived import mapping_documents
+from assetlake.sources.scratch import stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +100,11 @@ def test_queries_keep_generated_methods_short_enough_to_be_compiled(spark):
     session = spark.newSession()
     QUERIES["transformations"](session, "/root/testdata/sf0.001")
     assert session.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_documents_are_built_by_compiled_code_and_lineage_builds_them_once(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(document_queries, "stored", lambda df, name: built.append(name) or stored(df, name))
+    plan = plan_of(QUERIES["lineage"](spark, SF))
+    assert "content" in built and "orders.parquet" not in plan
+    assert "lambdafunction" not in plan_of(mapping_documents(spark, SF))
