@@ -41,21 +41,30 @@ WINDOW, PASSAGE = 16, 35
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def anchored(hashes: np.ndarray, window: int = WINDOW, length: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and keys of the anchored passages of a text's word hashes."""
+def anchors(hashes: np.ndarray, window: int = WINDOW, length: int = PASSAGE) -> np.ndarray:
+    """Starts of the anchored passages of a text's word hashes."""
     n = len(hashes)
     if n < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64)
     grams = mixed(hashes[: n - 1] * _BASE + hashes[1:])
     reach = min(window, len(grams))
     windows = np.lib.stride_tricks.sliding_window_view(grams, reach)
     starts = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
-    starts = starts[starts + length <= n]
-    values = np.lib.stride_tricks.sliding_window_view(hashes, length)[starts]
+    return starts[starts + length <= n]
+
+
+def passage_keys(hashes: np.ndarray, starts: np.ndarray, length: int = PASSAGE) -> np.ndarray:
+    """Keys of the passages that start at the given places of a row of word hashes."""
     key = np.zeros(len(starts), np.uint64)
     for k in range(length):
-        key = mixed(key * _BASE + values[:, k])
-    return starts, key.view(np.int64)
+        key = mixed(key * _BASE + hashes[starts + k])
+    return key.view(np.int64)
+
+
+def anchored(hashes: np.ndarray, window: int = WINDOW, length: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and keys of the anchored passages of a text's word hashes."""
+    starts = anchors(hashes, window, length)
+    return starts, passage_keys(hashes, starts, length)
 
 
 def paragraphs(docs: DataFrame, width: int, min_words: int) -> DataFrame:
@@ -65,6 +74,8 @@ def paragraphs(docs: DataFrame, width: int, min_words: int) -> DataFrame:
         memo = WordHashes()
         for batch in blocks(batches, "text"):
             ids, kinds, starts, sizes, nodes, sets, owners = [], [], [], [], [], [], []
+            # the passages of all texts of a block get their keys together
+            texts, passages, at_rows, before = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [], 0
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 lines = [word_hashes(line, memo) for line in (text or "").split("\n")]
                 at = 0
@@ -74,13 +85,21 @@ def paragraphs(docs: DataFrame, width: int, min_words: int) -> DataFrame:
                         ids.append(doc_id), kinds.append("line"), starts.append(at), sizes.append(len(line))
                         nodes.append(set_key(shingles)), owners.append(len(ids) - 1), sets.append(shingles)
                     at += len(line)
-                places, keys = anchored(np.concatenate([np.empty(0, np.uint64), *lines]))
+                texts += lines
+                places = anchors(np.concatenate([np.empty(0, np.uint64), *lines]))
                 m = len(places)
+                passages.append(before + places)
+                at_rows.append((len(ids), m))
+                before += at
                 ids += [doc_id] * m
                 kinds += ["passage"] * m
                 starts += places.tolist()
                 sizes += [PASSAGE] * m
-                nodes += keys.tolist()
+                nodes += [0] * m
+            keys, taken = passage_keys(np.concatenate(texts), np.concatenate(passages)).tolist(), 0
+            for row, m in at_rows:
+                nodes[row : row + m] = keys[taken : taken + m]
+                taken += m
             bands: list = [None] * len(ids)
             for owner, keys in zip(owners, band_keys(sketches(sets, BANDS * ROWS), BANDS, ROWS) if sets else (), strict=True):
                 bands[owner] = keys

@@ -167,3 +167,13 @@ def test_planted_passages_are_found(spark):
     start, end = spans[22][0]
     assert 42 <= start and end <= 42 + 55 and end - start >= passages.PASSAGE
     assert passages.repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_keys_of_joined_texts_are_those_of_each():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(1, 2**63, n).astype(np.uint64) for n in (40, 0, 36, 300)]
+    apart = [passages.anchored(text) for text in texts]
+    ends = np.cumsum([0, *map(len, texts)])
+    starts = np.concatenate([end + passages.anchors(text) for end, text in zip(ends, texts)])
+    keys = passages.passage_keys(np.concatenate(texts), starts)
+    assert keys.tolist() == [k for _, found in apart for k in found.tolist()]
