@@ -129,11 +129,14 @@ class Table:
 def difference(first: Digests, second: Digests, cells: int = BASE_CELLS) -> tuple[np.ndarray, np.ndarray]:
     """What only the first and only the second set of digests has, by peeling ever larger tables.
 
-    A table with fewer cells than the sets differ in number can't be peeled and is passed over.
+    A table with fewer cells than the sets differ in number can't be peeled and is passed over; so is
+    one whose counts tell that about as many digests differ, since a larger one gives the same.
     """
     while True:
         if abs(len(first) - len(second)) < cells:
-            found = Table(first, cells).minus(Table(second, cells)).peel()
+            table = Table(first, cells).minus(Table(second, cells))
+            # each digest that differs adds one to the expected square of HASHES counts
+            found = table.peel() if int(table.counts @ table.counts) <= HASHES * cells else None
             if found is not None:
                 return found
         cells *= LARGER

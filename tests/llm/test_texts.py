@@ -311,3 +311,13 @@ def test_a_letter_costs_few_lookups():
     word = "qzxvkjwqxzvjkqwzxjvkqzwxjkvqzxwjvkqx"
     assert counter.in_word(word) == [len(counter.library.encode(word[:n], add_special_tokens=False)) for n in range(1, len(word) + 1)]
     assert Counted.asked < 8 * len(word)
+
+
+def test_tables_that_are_too_small_are_not_peeled(monkeypatch):
+    peeled, peel = [], invertible_sketch.Table.peel
+    monkeypatch.setattr(invertible_sketch.Table, "peel", lambda table: peeled.append(table.cells) or peel(table))
+    random_digests = np.random.default_rng(3).integers(1, 2**63, 400).astype(np.uint64)
+    one, two = (invertible_sketch.Digests(np.unique(d)) for d in (random_digests[:200], random_digests[200:]))
+    mine, other = invertible_sketch.difference(one, two)
+    assert sorted(mine) == sorted(one.digests) and sorted(other) == sorted(two.digests)
+    assert peeled == [1024]
