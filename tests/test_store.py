@@ -5,7 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from assetlake.plans import jobs, source_queries
-from assetlake.operators.merge import upsert_table
+from assetlake.operators.merge import collapse_batch, upsert_table
 from assetlake.schemas import TABLES, TASKFLOW_TABLES
 from assetlake.sources import store as store_module
 from assetlake.sources.store import TableStore
@@ -175,3 +175,58 @@ def test_documents_are_parsed_once_from_staging_to_adapter_objects(spark, tmp_pa
     assert store.read("transformation_data_adapter_object").count() > 100
     assert store.read("transformation").schema["session_properties"].dataType.typeName() == "string"
     assert store.read("transformation", "node").schema["session_properties"].dataType.typeName() == "variant"
+
+
+def package_list(spark, first, last, stamp, more=()):
+    """Rows of long texts with their place, and more rows of keys that come again or are NULL."""
+    made = spark.range(first, last).selectExpr(
+        "concat('g', id) AS id", "int(id % 9) AS CodOnda", "int(id) AS CodProcess", "sha2(string(id), 512) AS objectPath",
+        f"'{stamp}' AS objectName", f"'{stamp}' AS objectType", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS Dt_Inserted",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS Dt_updated", "id AS place")
+    again = [(*row[:2], 0, "p", stamp, stamp, None, None, row[2]) for row in more]
+    return made.unionByName(spark.createDataFrame(again, ", ".join(f"{n} {t}" for n, t in made.dtypes)))
+
+
+AGAIN = [("g7", 70, 10**6), ("g7", 71, -1), (None, 1, 5), (None, 2, 4), ("x", None, 3)]
+
+
+@pytest.mark.parametrize("limit", [-1, 20_000, 10**9])
+@pytest.mark.parametrize("more", [[], AGAIN])
+def test_large_and_small_batches_give_the_rows_of_a_keyed_upsert(spark, tmp_path, monkeypatch, limit, more):
+    monkeypatch.setattr(TableStore, "_broadcast_limit", lambda self: limit)
+    store, name = TableStore(spark, str(tmp_path), buckets=2), "ContentsofExportPackage"
+    table, order = TABLES[name], ["place"]
+    expected = spark.createDataFrame([], table.schema)
+    for first, last, stamp in [(0, 3000, "a"), (0, 3000, "b"), (1000, 4000, "c"), (5, 9, "d"), (0, 5000, "e")]:
+        batch = package_list(spark, first, last, stamp, more)
+        expected = spark.createDataFrame(upsert_table(expected, batch, table, order).collect(), table.schema)
+        store.upsert(name, batch, order)
+        assert rows_of(store.read(name)) == rows_of(expected)
+
+
+def test_rows_are_written_once_where_no_key_repeats(spark, tmp_path, monkeypatch):
+    name, order, plans, write = "transformation_session_properties", ["content_name", "_pos"], [], TableStore._write
+
+    def seen(self, name, rows, *more):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, name, rows, *more)
+
+    def rows(n):
+        return spark.range(100).selectExpr(
+            f"IF(id = 3, NULL, string(id % {n})) AS id", "'t' AS id_transf", "string(id) AS class", "'n' AS name", "'v' AS value",
+            "'c' AS content_name", "IF(id % 4 = 0, '684', '702') AS CodOnda", "'1' AS CodProcess",
+            "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id)) AS Dt_Inserted",
+            "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS Dt_updated", "int(id) AS _pos")
+
+    monkeypatch.setattr(TableStore, "_write", seen)
+    store, table = TableStore(spark, str(tmp_path)), TABLES[name]
+    store.replace_slices(name, rows(100), ["684", "702"], order)
+    assert len(plans) == 1 and "Aggregate" not in plans[0] and "Exchange" not in plans[0]
+    assert store.read(name).count() == 100 and store.read(name).columns == list(table.columns)
+    assert store.replace_slices(name, rows(8), ["684", "702"], order) == 9
+    expected = collapse_batch(rows(8), table.keys, table.insert_only, order, table.columns)
+    assert rows_of(store.read(name)) == rows_of(expected)
+    assert len({p.parents[1] for p in (tmp_path / name).rglob("*.parquet")}) == 1  # what was written before is gone
+    monkeypatch.setattr(TableStore, "_broadcast_limit", lambda self: -1)
+    store.upsert("Flow", flow_rows(spark, [(f"E{i}", "1") for i in range(40)]), ["FlowId"])
+    assert len(plans) == 4 and "Exchange" not in plans[3]
