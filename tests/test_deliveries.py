@@ -6,8 +6,12 @@ from pathlib import Path
 from conftest import mapping, rows_of, write_zip
 from pyspark.sql import functions as F
 
-from assetlake.plans import jobs, scan_queries
+from assetlake.operators.assets import derive_file_records
+from assetlake.operators.quality import split_rejects
+from assetlake.plans import catalog, jobs, scan_queries
 from assetlake.plans.daily import run_daily
+from assetlake.plans.derived import file_record_documents
+from assetlake.sources.documents import flag_bad_json
 from assetlake.sources.scratch import scratch_path
 from assetlake.sources.store import TableStore
 
@@ -88,3 +92,22 @@ def test_the_export_tree_holds_one_delivery_at_a_time(spark, tmp_path, monkeypat
     assert max(map(len, found)) <= 45
     assert lists[0] == ["exportMetadata.v2.json"] * 7 + ["list.csv"] * 7 and all(names == lists[0] for names in lists)
     assert not [f for f in folder.rglob("*") if f.suffix in (".zip", ".xml")]
+
+
+def test_record_files_are_there_one_deal_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scan_queries, "_DEAL_FILES", 10, raising=False)
+    events = spark.range(65).selectExpr("id AS event_id", "timestamp_ntz '2024-01-20 00:00:00' AS ts", "id % 6 AS user_id", "'click' AS event_type")
+    events.union(events.where("event_id = 11")).write.parquet(f"{tmp_path}/events.parquet")
+    scan, at_once = scan_queries.scan_json_documents, []
+
+    def counted(spark, paths):
+        at_once.append(sum(len(list(Path(p.removeprefix("file:")).iterdir())) for p in paths))
+        return scan(spark, paths)
+
+    monkeypatch.setattr(scan_queries, "scan_json_documents", counted)
+    got = rows_of(catalog.QUERIES["scan_json_records"](spark, str(tmp_path)))
+    assert len(at_once) == 7 and sum(at_once) == 65 and max(at_once) <= 20
+    docs = file_record_documents(spark, str(tmp_path)).distinct()
+    assert got == rows_of(derive_file_records(split_rejects(flag_bad_json(docs))[0]).drop("source_path", "_pos")) and got
+    rejects = catalog.QUERIES["scan_json_rejects"](spark, str(tmp_path))
+    assert rows_of(rejects, "file") == sorted([(f"{i}.json",) for i in range(65) if i % 5 == 4], key=repr)
